@@ -10,8 +10,7 @@ import time
 from pathlib import Path
 
 import duckdb
-import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.statements import STATEMENTS
 from fairwake.plans.catalog import registered_queries
@@ -24,39 +23,42 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def normal(rows: pd.DataFrame) -> pd.DataFrame:
+Rows = tuple[list[str], list[tuple]]
+
+
+def normal(rows: Rows) -> list[tuple[str, ...]]:
     """Columns by name, values as text, rows sorted."""
-    out = pd.DataFrame(index=rows.index)
-    for name in sorted(rows.columns):
-        out[name] = [_text(v) for v in rows[name].astype(object)]
-    return out.sort_values(list(out.columns)).reset_index(drop=True)
+    names, values = rows
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_text(row[i]) for i in order) for row in values)
 
 
 def _text(value) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if value is None or (isinstance(value, float) and value != value):
         return "NULL"
-    if isinstance(value, float):
-        return repr(value + 0.0)
-    if hasattr(value, "isoformat"):
-        return str(pd.Timestamp(value))
-    return str(value)
-
-
-def differences(actual: pd.DataFrame, expected: pd.DataFrame) -> list[str]:
-    if sorted(actual.columns) != sorted(expected.columns):
-        return [f"columns: {sorted(set(actual.columns) ^ set(expected.columns))}"]
-    if len(actual) != len(expected):
-        return [f"rows: {len(actual)} instead of {len(expected)}"]
-    a, b = normal(actual), normal(expected)
-    off = (a != b).any(axis=1)
-    if not off.any():
+    return repr(value + 0.0) if isinstance(value, float) else str(value)
+
+
+def differences(actual: Rows, expected: Rows) -> list[str]:
+    names = sorted(actual[0])
+    if names != sorted(expected[0]):
+        return [f"columns: {sorted(set(names) ^ set(expected[0]))}"]
+    if len(actual[1]) != len(expected[1]):
+        return [f"rows: {len(actual[1])} instead of {len(expected[1])}"]
+    off = [(a, b) for a, b in zip(normal(actual), normal(expected)) if a != b]
+    if not off:
         return []
-    first = off.idxmax()
-    columns = [c for c in a.columns if a[c][first] != b[c][first]]
-    return [
-        f"{off.sum()} rows differ; first in "
-        + ", ".join(f"{c}: {a[c][first]} instead of {b[c][first]}" for c in columns)
-    ]
+    cells = [f"{n}: {x} instead of {y}" for n, x, y in zip(names, *off[0]) if x != y]
+    return [f"{len(off)} rows differ; first in {', '.join(cells)}"]
+
+
+def spark_rows(df: DataFrame) -> Rows:
+    return df.columns, [tuple(row) for row in df.collect()]
+
+
+def duckdb_rows(con: duckdb.DuckDBPyConnection, statement: str) -> Rows:
+    result = con.execute(statement)
+    return [d[0] for d in result.description], result.fetchall()
 
 
 def main(folder: str = "/root/testdata/sf0.01", *names: str) -> int:
@@ -74,17 +76,17 @@ def main(folder: str = "/root/testdata/sf0.01", *names: str) -> int:
             continue
         start = time.time()
         try:
-            actual = build(spark, folder).toPandas()
+            actual = spark_rows(build(spark, folder))
             took = time.time() - start
             if name in STATEMENTS:
-                found = differences(actual, con.execute(STATEMENTS[name]).df())
+                found = differences(actual, duckdb_rows(con, STATEMENTS[name]))
             else:
                 found = []
         except Exception as problem:  # report and go on with the next query
-            actual, took, found = [], time.time() - start, [str(problem)[:600]]
+            actual, took, found = ([], []), time.time() - start, [str(problem)[:600]]
         bad += bool(found)
         note = "; ".join(found) or ("same" if name in STATEMENTS else "no statement")
-        print(f"{name:24s} {len(actual):7d} rows {took:6.2f} s  {note}", flush=True)
+        print(f"{name:24s} {len(actual[1]):7d} rows {took:6.2f} s  {note}", flush=True)
     print(f"{bad} queries differ")
     return bad
 

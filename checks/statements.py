@@ -284,7 +284,8 @@ FINALS["ship_daily_extremes"] = f"SELECT mmsi, date, vsr_region, {_doubles(_EXTR
 FINALS["ship_rolling_daily"] = f"""
 SELECT mmsi, date, vsr_region, {dbl('score')} AS score, {dbl('rolling')} AS rolling_coop_score FROM daily"""
 
-_NAMES = "mmsi, name_of_ship, operator, operator_code, technical_manager, shiptype, ship_category, vsr_region, gt"
+_NAMES = f"""mmsi, name_of_ship, operator, operator_code, technical_manager, shiptype, ship_category, vsr_region,
+  {dbl('gt')} AS gt"""
 
 
 def _share(column: str, digits: int) -> str:

@@ -8,7 +8,7 @@ vertices first where long edges matter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6371008.8
@@ -94,26 +94,31 @@ def point_count(paths: Column) -> Column:
     return F.aggregate(paths, F.lit(0), lambda acc, path: acc + F.size(path)).cast("bigint")
 
 
-def chain(hops: Column) -> Column:
-    """Multiline from an ordered array of struct<beg, end> hops.
+def with_chained(rows: DataFrame, hops: str, into: str) -> DataFrame:
+    """Replace an array of struct<..., beg, end> hops, taken in order, by a multiline.
 
     A hop that starts where the one before ended continues its path; any other hop
-    starts a new path.
+    starts a new path. Done in steps, so that no array is computed once per element.
     """
-    n = F.size(hops)
-    starts = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: (i == 0) | ~same_point(F.get(hops, i)["beg"], F.get(hops, i - 1)["end"]),
-    )
+    hop, starts = F.col(hops), F.col("_starts")
+
+    def opens(i: Column) -> Column:
+        return (i == 0) | ~same_point(F.get(hop, i)["beg"], F.get(hop, i - 1)["end"])
 
     def path(start: Column, k: Column) -> Column:
-        stop = F.coalesce(F.get(starts, k + 1), n)
-        members = F.slice(hops, start + 1, stop - start)
+        stop = F.coalesce(F.get(starts, k + 1), F.size(hop))
+        members = F.slice(hop, start + 1, stop - start)
         return F.concat(
-            F.array(F.get(hops, start)["beg"]), F.transform(members, lambda hop: hop["end"])
+            F.array(F.get(hop, start)["beg"]), F.transform(members, lambda h: h["end"])
         )
 
-    return F.when(n > 0, F.transform(starts, path))
+    positions = F.when(F.size(hop) > 0, F.sequence(F.lit(0), F.size(hop) - 1))
+    return (
+        rows.withColumn(hops, F.array_sort(hop))
+        .withColumn("_starts", F.filter(positions, opens))
+        .withColumn(into, F.transform(starts, path))
+        .drop("_starts", hops)
+    )
 
 
 def path_gaps_m(paths: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,24 +18,38 @@ from fairwake.functions import geo
 TOLERANCES_M = [5, 10, 50, 100, 250, 500, 750, 1000]
 
 
-def tolerance_m(paths: Column) -> Column:
-    """Smallest tolerance that joins all paths into one; NULL if none is needed or enough."""
-    widest = F.array_max(geo.path_gaps_m(paths))
-    out = F
-    for tolerance in TOLERANCES_M:
-        out = out.when(widest <= tolerance, F.lit(tolerance))
-    return F.when(F.size(paths) > 1, out.otherwise(F.lit(None))).cast("bigint")
+def with_tolerance(runs: DataFrame, paths: str, into: str, gap: str = "_gap") -> DataFrame:
+    """Add the smallest tolerance that joins all paths into one, and the gap it bridges.
 
+    NULL where there is a single path, or no tolerance is enough.
+    """
+    tolerance = F
+    for metres in TOLERANCES_M:
+        tolerance = tolerance.when(F.col(gap) <= metres, F.lit(metres))
+    return runs.withColumn(gap, F.array_max(geo.path_gaps_m(F.col(paths)))).withColumn(
+        into, tolerance.otherwise(F.lit(None)).cast("bigint")
+    )
 
-def straightened(paths: Column) -> Column:
-    """The paths as one simplified line where a tolerance allows it, else unchanged."""
-    tolerance = tolerance_m(paths)
-    joined = F.when(tolerance.isNotNull(), F.flatten(paths))
-    lons = F.transform(joined, lambda p: p["lon"])
-    lats = F.transform(joined, lambda p: p["lat"])
-    kept = _kept_vertices(lons, lats, tolerance)
-    line = F.transform(kept, lambda i: F.get(F.flatten(paths), i))
-    return F.when(tolerance.isNotNull(), F.array(line)).otherwise(paths)
+
+def with_straightened(runs: DataFrame, paths: str, into: str) -> DataFrame:
+    """Add the paths as one simplified line where a tolerance allows it, else unchanged."""
+    needed = F.col("_tolerance").isNotNull()
+    joined, kept = F.col("_joined"), F.col("_kept")
+    line = F.array(F.transform(kept, lambda i: F.get(joined, i)))
+    return (
+        with_tolerance(runs, paths, "_tolerance")
+        .withColumn("_joined", F.when(needed, F.flatten(paths)))
+        .withColumn(
+            "_kept",
+            _kept_vertices(
+                F.transform(joined, lambda p: p["lon"]),
+                F.transform(joined, lambda p: p["lat"]),
+                F.col("_tolerance"),
+            ),
+        )
+        .withColumn(into, F.when(needed, line).otherwise(F.col(paths)))
+        .drop("_gap", "_tolerance", "_joined", "_kept")
+    )
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

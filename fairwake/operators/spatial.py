@@ -199,24 +199,29 @@ def intersects(line: Column, inside: Column, edges: Column) -> Column:
     return F.exists(edges, lambda e: geo.crosses(p, q, e)) | contains(p, inside, edges)
 
 
-def clip(line: Column, inside: Column, edges: Column) -> Column:
-    """Parts of the line within the polygon, as a multiline.
+def with_clip(lines: DataFrame, line: str, into: str) -> DataFrame:
+    """Add the parts of each line within its polygon, as a multiline.
 
-    A line that lies within it comes back as a single part equal to itself; one that
-    only touches it gives no part.
+    `lines` comes from `join_polygons`. A line that lies within the polygon comes back
+    as a single part equal to itself; one that only touches it gives no part.
     """
-    p, q = F.get(line, F.lit(0)), F.get(line, F.lit(1))
-    met = F.transform(
-        F.filter(edges, lambda e: geo.crosses(p, q, e)), lambda e: geo.crossing_fraction(p, q, e)
+    inside, edges = F.col("inside"), F.col("edges")
+    p, q = F.get(F.col(line), F.lit(0)), F.get(F.col(line), F.lit(1))
+    cuts, kept = F.col("_cuts"), F.col("_kept")
+
+    crossed = F.filter(edges, lambda e: geo.crosses(p, q, e))
+    met = F.filter(
+        F.transform(crossed, lambda e: geo.crossing_fraction(p, q, e)),
+        lambda t: (t > 0.0) & (t < 1.0),
     )
-    inner = F.filter(met, lambda t: (t > 0.0) & (t < 1.0))
-    cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0)), inner, F.array(F.lit(1.0)))))
-    middles = F.transform(
-        F.sequence(F.lit(1), F.size(cuts) - 1),
-        lambda i: geo.along(p, q, (F.get(cuts, i - 1) + F.get(cuts, i)) / 2.0),
+    all_cuts = F.array_sort(
+        F.array_distinct(F.concat(F.array(F.lit(0.0)), met, F.array(F.lit(1.0))))
     )
-    kept = F.transform(middles, lambda m: contains(m, inside, edges))
-    pieces = F.sequence(F.lit(0), F.size(kept) - 1)
+
+    def middle(i: Column) -> Column:
+        return geo.along(p, q, (F.get(cuts, i - 1) + F.get(cuts, i)) / 2.0)
+
+    middles = F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), middle)
 
     def is_kept(i: Column) -> Column:
         return (i >= 0) & F.coalesce(F.get(kept, i), F.lit(False))
@@ -224,13 +229,20 @@ def clip(line: Column, inside: Column, edges: Column) -> Column:
     def vertex(t: Column) -> Column:
         return F.when(t == 0.0, p).when(t == 1.0, q).otherwise(geo.along(p, q, t))
 
-    first = F.filter(pieces, lambda i: is_kept(i) & ~is_kept(i - 1))
-    last = F.filter(pieces, lambda i: is_kept(i) & ~is_kept(i + 1))
-    return F.transform(
-        F.arrays_zip(first.alias("i"), last.alias("j")),
-        lambda part: geo.line(
-            vertex(F.get(cuts, part["i"])), vertex(F.get(cuts, part["j"] + 1))
-        ),
+    pieces = F.sequence(F.lit(0), F.size(kept) - 1)
+    bounds = F.arrays_zip(
+        F.filter(pieces, lambda i: is_kept(i) & ~is_kept(i - 1)).alias("first"),
+        F.filter(pieces, lambda i: is_kept(i) & ~is_kept(i + 1)).alias("last"),
+    )
+    parts = F.transform(
+        bounds,
+        lambda b: geo.line(vertex(F.get(cuts, b["first"])), vertex(F.get(cuts, b["last"] + 1))),
+    )
+    return (
+        lines.withColumn("_cuts", all_cuts)
+        .withColumn("_kept", F.transform(middles, lambda m: contains(m, inside, edges)))
+        .withColumn(into, parts)
+        .drop("_cuts", "_kept")
     )
 
 

@@ -594,12 +594,9 @@ def run_geometry(c: Chain) -> DataFrame:
 @query
 def run_tolerance(c: Chain) -> DataFrame:
     found = runs.run_geometries(c.segments, EVER)
-    widest = F.array_max(geo.path_gaps_m(F.col("paths")))
-    return found.select(
-        *RUN,
-        numeric.rounded(widest, 3).alias("widest_gap_m"),
-        simplify.tolerance_m(F.col("paths")).alias("tolerance_m"),
-    )
+    chosen = simplify.with_tolerance(found, "paths", "tolerance_m", gap="gap")
+    widest = numeric.rounded(F.col("gap"), 3)
+    return chosen.select(*RUN, widest.alias("widest_gap_m"), "tolerance_m")
 
 
 @query

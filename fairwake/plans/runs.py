@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fairwake.functions import geo
 from fairwake.functions.numeric import mean, num, rounded
-from fairwake.functions.simplify import straightened
+from fairwake.functions.simplify import with_straightened
 from fairwake.functions.speed import (
     M_TO_NM,
     calculated_knots,
@@ -72,18 +72,17 @@ def run_measures() -> dict[str, Column]:
     }
 
 
-def run_paths(timestamp: str, line: str) -> Column:
-    """Aggregate: a run's lines in time order, chained into paths.
+def run_lines(line: str) -> Column:
+    """Aggregate: a run's lines, to be put in time order and chained into paths.
 
     The result holds every line of one vessel, day and run: the run's own geometry.
     """
     hop = F.struct(
-        F.col(timestamp),
+        F.col("timestamp"),
         F.get(F.col(line), F.lit(0)).alias("beg"),
         F.get(F.col(line), F.lit(1)).alias("end"),
     )
-    hops = F.collect_list(F.when(F.col(line).isNotNull(), hop))
-    return geo.chain(F.array_sort(hops))
+    return F.collect_list(F.when(F.col(line).isNotNull(), hop))
 
 
 def speed_runs(
@@ -99,8 +98,9 @@ def run_geometries(
 ) -> DataFrame:
     """Runs with `paths`, their geometry as it comes, and `npts`, its number of points."""
     runs = numbered_runs(off_coast(newer(segments, since)), slice_hours=slice_hours)
-    measures = run_measures() | {"paths": run_paths("timestamp", "linestring")}
-    return _aggregated(runs, measures).withColumn("npts", geo.point_count(F.col("paths")))
+    collected = _aggregated(runs, run_measures() | {"hops": run_lines("linestring")})
+    chained = geo.with_chained(collected, "hops", "paths")
+    return chained.withColumn("npts", geo.point_count(F.col("paths")))
 
 
 def build_runs(
@@ -108,7 +108,7 @@ def build_runs(
 ) -> DataFrame:
     """Runs of off-coast segments per vessel and day, with straightened geometry."""
     runs = run_geometries(segments, since, slice_hours=slice_hours)
-    return conform(runs.withColumn("geom", straightened(F.col("paths"))), RUNS)
+    return conform(with_straightened(runs, "paths", "geom"), RUNS)
 
 
 def _aggregated(runs: DataFrame, measures: dict[str, Column]) -> DataFrame:
@@ -170,13 +170,11 @@ def build_runs_legacy(
             F.unix_seconds(F.max("timestamp_end")).alias("unix_end"),
             F.min("timestamp").alias("timestamp_beg"),
             F.max("timestamp_end").alias("timestamp_end"),
-            F.when(seconds / 60.0 <= LONGEST_SPAN_MINUTES, run_paths("timestamp", "line")).alias(
-                "geom"
-            ),
+            F.when(seconds / 60.0 <= LONGEST_SPAN_MINUTES, run_lines("line")).alias("hops"),
         )
-        .withColumn("npts", geo.point_count(F.col("geom")))
     )
-    kept = runs.where(
+    chained = geo.with_chained(runs, "hops", "geom")
+    kept = chained.withColumn("npts", geo.point_count(F.col("geom"))).where(
         (F.col("npts") > 1)
         & F.col("geom").isNotNull()
         & (F.col("total_distance_nm") > 0)

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from fairwake.functions import geo
 from fairwake.operators.spatial import (
     CELL_COLUMNS,
-    clip,
     is_whole,
     join_polygons,
     polygon_index,
+    with_clip,
 )
 from fairwake.plans.segments import newer
 from fairwake.schemas import MULTILINE
@@ -36,9 +36,9 @@ def segments_in_zones(
     in_season = F.col("timestamp").between(F.col("datetime_beg"), F.col("datetime_end"))
     index = zone_index(zones, geodesic=geodesic)
     met = join_polygons(segments, "linestring", index, in_season)
-    parts = clip(F.col("linestring"), F.col("inside"), F.col("edges"))
     return (
-        met.withColumn("vsr_linestring", parts.cast(MULTILINE))
+        with_clip(met, "linestring", "vsr_linestring")
+        .withColumn("vsr_linestring", F.col("vsr_linestring").cast(MULTILINE))
         .withColumn("covered", is_whole(F.col("vsr_linestring"), F.col("linestring")))
         .drop(*CELL_COLUMNS, "inside", "edges")
     )
@@ -101,18 +101,22 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
         )
     )
     met = join_polygons(lines, "line", zone_index(zones), in_season)
-    parts = clip(F.col("line"), F.col("inside"), F.col("edges"))
-    ordered_parts = F.array_sort(F.collect_list(F.struct("_path", "_hop", "_parts")))
-    found = (
-        met.withColumn("_parts", parts)
-        .groupBy(*RUN_KEY, "_polygon", "vsr_category", "vsr_region")
-        .agg(ordered_parts.alias("_found"))
-        .select(
-            *[F.col(c).alias(f"_{c}") for c in RUN_KEY],
-            "vsr_category",
-            "vsr_region",
-            _joined(F.col("_found")).cast(MULTILINE).alias("vsr_geom"),
-        )
+    # A line that only touches a zone keeps its run there, with no part.
+    parts = with_clip(met, "line", "_parts").withColumn("_part", F.explode_outer("_parts"))
+    hop = F.struct(
+        "_path",
+        "_hop",
+        F.get("_part", F.lit(0)).alias("beg"),
+        F.get("_part", F.lit(1)).alias("end"),
+    )
+    hops = parts.groupBy(*RUN_KEY, "_polygon", "vsr_category", "vsr_region").agg(
+        F.collect_list(F.when(F.col("_part").isNotNull(), hop)).alias("_hops")
+    )
+    found = geo.with_chained(hops, "_hops", "vsr_geom").select(
+        *[F.col(c).alias(f"_{c}") for c in RUN_KEY],
+        "vsr_category",
+        "vsr_region",
+        F.coalesce(F.col("vsr_geom"), F.array()).cast(MULTILINE).alias("vsr_geom"),
     )
     same_run = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in RUN_KEY]
     return bounded.join(found, same_run).select(
@@ -126,14 +130,3 @@ def _hops(points: Column) -> Column:
         lambda i: F.array(F.get(points, i - 1), F.get(points, i)),
     )
 
-
-def _joined(found: Column) -> Column:
-    """Parts of one run in one zone, chained into paths again."""
-    parts = F.flatten(F.transform(found, lambda f: f["_parts"]))
-    hops = F.transform(
-        parts,
-        lambda part: F.struct(
-            F.get(part, F.lit(0)).alias("beg"), F.get(part, F.lit(1)).alias("end")
-        ),
-    )
-    return F.coalesce(geo.chain(hops), F.array().cast(MULTILINE))
