@@ -1,9 +1,13 @@
-"""Points, lines and their measures as Column expressions.
+"""Points, lines and their measures, as Spark SQL expression text.
 
 A point is struct<lon, lat> in degrees, a line an array of points, a multiline an
-array of lines, a polygon an array of rings. Tests treat edges as straight in
-longitude and latitude; `operators.spatial.geodesic_edges` inserts great-circle
-vertices first where long edges matter.
+array of lines, a polygon an array of rings, an edge struct<a, b> of two points. The
+functions take the text of their operands (column or lambda variable names) and return
+the text of the result, so that they nest within SQL's higher-order functions; wrap the
+outermost one in `expr`.
+
+Tests treat edges as straight in longitude and latitude; `operators.spatial` inserts
+great-circle vertices first where long edges matter.
 """
 
 from __future__ import annotations
@@ -14,84 +18,88 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_M = 6371008.8
 
 
-def point(lon: Column, lat: Column) -> Column:
-    return F.struct(lon.cast("double").alias("lon"), lat.cast("double").alias("lat"))
+def point(lon: str, lat: str) -> str:
+    return f"named_struct('lon', cast({lon} as double), 'lat', cast({lat} as double))"
+
 
+def first(line: str) -> str:
+    return f"get({line}, 0)"
 
-def line(*points: Column) -> Column:
-    return F.array(*points)
 
+def second(line: str) -> str:
+    return f"get({line}, 1)"
 
-def haversine_m(a: Column, b: Column, radius: float = EARTH_RADIUS_M) -> Column:
+
+def haversine_m(a: str, b: str, radius: float = EARTH_RADIUS_M) -> str:
     """Great-circle distance of two points in metres."""
-    lat_a, lat_b = F.radians(a["lat"]), F.radians(b["lat"])
-    half_lat = (lat_b - lat_a) / 2.0
-    half_lon = (F.radians(b["lon"]) - F.radians(a["lon"])) / 2.0
-    h = F.sin(half_lat) * F.sin(half_lat) + (
-        F.cos(lat_a) * F.cos(lat_b) * F.sin(half_lon) * F.sin(half_lon)
+    half_lat = f"((radians({b}.lat) - radians({a}.lat)) / 2D)"
+    half_lon = f"((radians({b}.lon) - radians({a}.lon)) / 2D)"
+    h = (
+        f"sin({half_lat}) * sin({half_lat}) + (cos(radians({a}.lat)) * cos(radians({b}.lat))"
+        f" * sin({half_lon}) * sin({half_lon}))"
     )
-    return F.asin(F.sqrt(h)) * (2.0 * radius)
+    return f"(asin(sqrt({h})) * {2 * radius!r}D)"
 
 
-def same_point(a: Column, b: Column) -> Column:
-    return (a["lon"] == b["lon"]) & (a["lat"] == b["lat"])
+def same_point(a: str, b: str) -> str:
+    return f"({a}.lon = {b}.lon and {a}.lat = {b}.lat)"
 
 
-def side(a: Column, b: Column, p: Column) -> Column:
+def side(a: str, b: str, p: str) -> str:
     """Positive when p lies left of the direction a to b, zero when on it."""
-    return (b["lon"] - a["lon"]) * (p["lat"] - a["lat"]) - (b["lat"] - a["lat"]) * (
-        p["lon"] - a["lon"]
+    return (
+        f"(({b}.lon - {a}.lon) * ({p}.lat - {a}.lat)"
+        f" - ({b}.lat - {a}.lat) * ({p}.lon - {a}.lon))"
     )
 
 
-def spans_overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
-    return (F.least(a0, a1) <= F.greatest(b0, b1)) & (F.least(b0, b1) <= F.greatest(a0, a1))
+def spans_overlap(a0: str, a1: str, b0: str, b1: str) -> str:
+    return (
+        f"(least({a0}, {a1}) <= greatest({b0}, {b1}) and least({b0}, {b1}) <= greatest({a0}, {a1}))"
+    )
 
 
-def crosses(p: Column, q: Column, edge: Column) -> Column:
+def crosses(p: str, q: str, edge: str) -> str:
     """Whether the line p-q and the edge have a point in common, ends included."""
-    a, b = edge["a"], edge["b"]
+    a, b = f"{edge}.a", f"{edge}.b"
     return (
-        spans_overlap(p["lon"], q["lon"], a["lon"], b["lon"])
-        & spans_overlap(p["lat"], q["lat"], a["lat"], b["lat"])
-        & (side(a, b, p) * side(a, b, q) <= 0)
-        & (side(p, q, a) * side(p, q, b) <= 0)
+        f"({spans_overlap(f'{p}.lon', f'{q}.lon', f'{a}.lon', f'{b}.lon')}"
+        f" and {spans_overlap(f'{p}.lat', f'{q}.lat', f'{a}.lat', f'{b}.lat')}"
+        f" and {side(a, b, p)} * {side(a, b, q)} <= 0"
+        f" and {side(p, q, a)} * {side(p, q, b)} <= 0)"
     )
 
 
-def swaps_side(p: Column, q: Column, edge: Column) -> Column:
+def swaps_side(p: str, q: str, edge: str) -> str:
     """Whether going from p to q passes through the edge, for counting parity."""
-    a, b = edge["a"], edge["b"]
-    return ((side(p, q, a) > 0) != (side(p, q, b) > 0)) & (
-        (side(a, b, p) > 0) != (side(a, b, q) > 0)
+    a, b = f"{edge}.a", f"{edge}.b"
+    return (
+        f"(({side(p, q, a)} > 0) <> ({side(p, q, b)} > 0)"
+        f" and ({side(a, b, p)} > 0) <> ({side(a, b, q)} > 0))"
     )
 
 
-def along(p: Column, q: Column, t: Column) -> Column:
+def along(p: str, q: str, t: str) -> str:
     """Point at fraction t of the line p-q."""
-    return point(p["lon"] + (q["lon"] - p["lon"]) * t, p["lat"] + (q["lat"] - p["lat"]) * t)
+    return point(f"{p}.lon + ({q}.lon - {p}.lon) * {t}", f"{p}.lat + ({q}.lat - {p}.lat) * {t}")
 
 
-def crossing_fraction(p: Column, q: Column, edge: Column) -> Column:
+def crossing_fraction(p: str, q: str, edge: str) -> str:
     """Where along p-q the edge is met; NULL if they run parallel."""
-    from_p, from_q = side(edge["a"], edge["b"], p), side(edge["a"], edge["b"], q)
-    return F.when(from_p != from_q, from_p / (from_p - from_q))
+    from_p, from_q = side(f"{edge}.a", f"{edge}.b", p), side(f"{edge}.a", f"{edge}.b", q)
+    return f"case when {from_p} <> {from_q} then {from_p} / ({from_p} - {from_q}) end"
 
 
-def length_m(paths: Column) -> Column:
+def length_m(paths: str) -> Column:
     """Total length of a multiline in metres."""
+    hop = haversine_m("get(path, i - 1)", "get(path, i)")
+    hops = f"transform(sequence(1, size(path) - 1), i -> {hop})"
+    path = f"case when size(path) > 1 then aggregate({hops}, 0D, (sum, hop) -> sum + hop) else 0D end"
+    return F.expr(f"aggregate(transform({paths}, path -> {path}), 0D, (sum, one) -> sum + one)")
 
-    def path_length(path: Column) -> Column:
-        hops = F.sequence(F.lit(1), F.size(path) - 1)
-        hop = F.transform(hops, lambda i: haversine_m(F.get(path, i - 1), F.get(path, i)))
-        total = F.aggregate(hop, F.lit(0.0), lambda acc, x: acc + x)
-        return F.when(F.size(path) > 1, total).otherwise(F.lit(0.0))
 
-    return F.aggregate(F.transform(paths, path_length), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def point_count(paths: Column) -> Column:
-    return F.aggregate(paths, F.lit(0), lambda acc, path: acc + F.size(path)).cast("bigint")
+def point_count(paths: str) -> Column:
+    return F.expr(f"aggregate({paths}, 0L, (sum, path) -> sum + size(path))")
 
 
 def with_chained(rows: DataFrame, hops: str, into: str) -> DataFrame:
@@ -100,32 +108,25 @@ def with_chained(rows: DataFrame, hops: str, into: str) -> DataFrame:
     A hop that starts where the one before ended continues its path; any other hop
     starts a new path. Done in steps, so that no array is computed once per element.
     """
-    hop, starts = F.col(hops), F.col("_starts")
-
-    def opens(i: Column) -> Column:
-        return (i == 0) | ~same_point(F.get(hop, i)["beg"], F.get(hop, i - 1)["end"])
-
-    def path(start: Column, k: Column) -> Column:
-        stop = F.coalesce(F.get(starts, k + 1), F.size(hop))
-        members = F.slice(hop, start + 1, stop - start)
-        return F.concat(
-            F.array(F.get(hop, start)["beg"]), F.transform(members, lambda h: h["end"])
-        )
-
-    positions = F.when(F.size(hop) > 0, F.sequence(F.lit(0), F.size(hop) - 1))
+    goes_on = same_point(f"get({hops}, i).beg", f"get({hops}, i - 1).end")
+    stop = f"coalesce(get(_starts, k + 1), size({hops}))"
+    path = (
+        f"concat(array(get({hops}, start).beg),"
+        f" transform(slice({hops}, start + 1, {stop} - start), hop -> hop.end))"
+    )
+    positions = f"case when size({hops}) > 0 then sequence(0, size({hops}) - 1) end"
     return (
-        rows.withColumn(hops, F.array_sort(hop))
-        .withColumn("_starts", F.filter(positions, opens))
-        .withColumn(into, F.transform(starts, path))
+        rows.withColumn(hops, F.array_sort(hops))
+        .withColumn("_starts", F.expr(f"filter({positions}, i -> i = 0 or not {goes_on})"))
+        .withColumn(into, F.expr(f"transform(_starts, (start, k) -> {path})"))
         .drop("_starts", hops)
     )
 
 
-def path_gaps_m(paths: Column) -> Column:
+def path_gaps_m(paths: str) -> Column:
     """Distances from the end of each path to the start of the next one."""
-    follow = F.sequence(F.lit(1), F.size(paths) - 1)
-    gaps = F.transform(
-        follow,
-        lambda i: haversine_m(F.element_at(F.get(paths, i - 1), -1), F.get(F.get(paths, i), 0)),
+    gap = haversine_m(f"element_at(get({paths}, i - 1), -1)", f"get(get({paths}, i), 0)")
+    return F.expr(
+        f"case when size({paths}) > 1 then"
+        f" transform(sequence(1, size({paths}) - 1), i -> {gap}) end"
     )
-    return F.when(F.size(paths) > 1, gaps)

@@ -26,7 +26,7 @@ def with_tolerance(runs: DataFrame, paths: str, into: str, gap: str = "_gap") ->
     tolerance = F
     for metres in TOLERANCES_M:
         tolerance = tolerance.when(F.col(gap) <= metres, F.lit(metres))
-    return runs.withColumn(gap, F.array_max(geo.path_gaps_m(F.col(paths)))).withColumn(
+    return runs.withColumn(gap, F.array_max(geo.path_gaps_m(paths))).withColumn(
         into, tolerance.otherwise(F.lit(None)).cast("bigint")
     )
 
@@ -34,16 +34,15 @@ def with_tolerance(runs: DataFrame, paths: str, into: str, gap: str = "_gap") ->
 def with_straightened(runs: DataFrame, paths: str, into: str) -> DataFrame:
     """Add the paths as one simplified line where a tolerance allows it, else unchanged."""
     needed = F.col("_tolerance").isNotNull()
-    joined, kept = F.col("_joined"), F.col("_kept")
-    line = F.array(F.transform(kept, lambda i: F.get(joined, i)))
+    line = F.expr("array(transform(_kept, i -> get(_joined, i)))")
     return (
         with_tolerance(runs, paths, "_tolerance")
         .withColumn("_joined", F.when(needed, F.flatten(paths)))
         .withColumn(
             "_kept",
             _kept_vertices(
-                F.transform(joined, lambda p: p["lon"]),
-                F.transform(joined, lambda p: p["lat"]),
+                F.col("_joined.lon"),
+                F.col("_joined.lat"),
                 F.col("_tolerance"),
             ),
         )

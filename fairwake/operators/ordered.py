@@ -6,8 +6,6 @@ few hours. Rows are shuffled once by (vessel, slice) and ordered inside their sl
 what crosses a slice border (the first row and the number of rows or marks of each
 slice) is carried by a table with one row per vessel and slice, which is joined back
 on the same key and therefore moves no wide row again.
-
-The key and the time column must not be NULL.
 """
 
 from __future__ import annotations
@@ -20,9 +18,17 @@ SLICE_HOURS = 6
 
 
 def sliced(df: DataFrame, key: str, time: str, hours: int = SLICE_HOURS) -> DataFrame:
-    """Add the slice number and spread the rows by key and slice."""
+    """Add the slice number and spread the rows by key and slice.
+
+    Rows without key or time have no place on a time line and are left out. Saying so
+    before the shuffle, and not leaving it to the later join, keeps the shuffled rows
+    the same for both of their uses, so that they are shuffled once.
+    """
     slice_no = F.floor(F.unix_seconds(F.col(time)) / F.lit(hours * 3600))
-    return df.withColumn(SLICE, slice_no).repartition(F.col(key), F.col(SLICE))
+    placed = df.withColumn(SLICE, slice_no).where(
+        F.col(key).isNotNull() & F.col(SLICE).isNotNull()
+    )
+    return placed.repartition(F.col(key), F.col(SLICE))
 
 
 def with_next(

@@ -33,50 +33,46 @@ OFF_CENTRE = 0.41421356237
 
 def polygon_edges(polygons: DataFrame, rings: str, keep: list[str]) -> DataFrame:
     """One row per polygon edge, as edge struct<a, b>; rings need not repeat a point."""
-    ring = F.col("_ring")
-    n = F.size(ring)
-    edges = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(F.get(ring, i).alias("a"), F.get(ring, (i + 1) % n).alias("b")),
+    edges = F.expr(
+        "transform(_ring, (p, i) -> named_struct('a', p, 'b', get(_ring, (i + 1) % size(_ring))))"
     )
     return (
         polygons.select(*keep, F.explode(rings).alias("_ring"))
         .select(*keep, F.explode(edges).alias("edge"))
-        .where(~geo.same_point(F.col("edge.a"), F.col("edge.b")))
+        .where(f"not {geo.same_point('edge.a', 'edge.b')}")
     )
 
 
 def geodesic_edges(edges: DataFrame, max_degrees: float = 0.1) -> DataFrame:
     """Split each edge along its great circle so that no piece is longer than given."""
-    a, b = F.col("edge.a"), F.col("edge.b")
-    arc = geo.haversine_m(a, b, radius=1.0)
-    pieces = F.greatest(F.lit(1), F.ceil(F.degrees(arc) / max_degrees)).cast("int")
 
-    def vertex(k: Column) -> Column:
-        t = k / F.col("_pieces")
-        wa = F.sin((1.0 - t) * F.col("_arc")) / F.sin("_arc")
-        wb = F.sin(t * F.col("_arc")) / F.sin("_arc")
-
-        def mixed(f):
-            return wa * f(a) + wb * f(b)
-
-        x = mixed(lambda p: F.cos(F.radians(p["lat"])) * F.cos(F.radians(p["lon"])))
-        y = mixed(lambda p: F.cos(F.radians(p["lat"])) * F.sin(F.radians(p["lon"])))
-        z = mixed(lambda p: F.sin(F.radians(p["lat"])))
+    def vertex(k: str) -> str:
+        def mixed(of_a: str, of_b: str) -> str:
+            t = f"(({k}) / cast(_pieces as double))"
+            return f"((sin((1D - {t}) * _arc) * {of_a} + sin({t} * _arc) * {of_b}) / sin(_arc))"
+
+        x, y, z = (
+            mixed(of.format("edge.a"), of.format("edge.b"))
+            for of in (
+                "cos(radians({0}.lat)) * cos(radians({0}.lon))",
+                "cos(radians({0}.lat)) * sin(radians({0}.lon))",
+                "sin(radians({0}.lat))",
+            )
+        )
         between = geo.point(
-            F.degrees(F.atan2(y, x)), F.degrees(F.atan2(z, F.sqrt(x * x + y * y)))
+            f"degrees(atan2({y}, {x}))", f"degrees(atan2({z}, sqrt({x} * {x} + {y} * {y})))"
         )
-        return F.when(k == 0, a).when(k == F.col("_pieces"), b).otherwise(between)
+        return f"case {k} when 0 then edge.a when _pieces then edge.b else {between} end"
 
-    split = F.transform(
-        F.sequence(F.lit(0), F.col("_pieces") - 1),
-        lambda k: F.struct(vertex(k).alias("a"), vertex(k + 1).alias("b")),
-    )
+    split = f"named_struct('a', {vertex('k')}, 'b', {vertex('k + 1')})"
     others = [c for c in edges.columns if c != "edge"]
     return (
-        edges.withColumn("_arc", arc)
-        .withColumn("_pieces", pieces)
-        .select(*others, F.explode(split).alias("edge"))
+        edges.withColumn("_arc", F.expr(geo.haversine_m("edge.a", "edge.b", radius=1.0)))
+        .withColumn("_pieces", F.expr(f"int(greatest(1, ceil(degrees(_arc) / {max_degrees}D)))"))
+        .select(
+            *others,
+            F.explode(F.expr(f"transform(sequence(0, _pieces - 1), k -> {split})")).alias("edge"),
+        )
     )
 
 
@@ -116,17 +112,13 @@ def polygon_index(
     )
 
     # Longitudes at which the border passes the reference latitude of a row of cells.
-    slope = (F.col("_ref_lat") - F.col("edge.a.lat")) / (F.col("edge.b.lat") - F.col("edge.a.lat"))
+    passing = "edge.a.lon + (edge.b.lon - edge.a.lon) * (_ref - edge.a.lat) / (edge.b.lat - edge.a.lat)"
     passes = (
         sized.withColumn("_iy", F.explode(_cells("_y0", "_y1", margin=1)))
-        .withColumn("_ref_lat", _reference("_iy"))
-        .where((F.col("edge.a.lat") > F.col("_ref_lat")) != (F.col("edge.b.lat") > F.col("_ref_lat")))
+        .withColumn("_ref", F.expr(_reference("_iy")))
+        .where("(edge.a.lat > _ref) <> (edge.b.lat > _ref)")
         .groupBy("_polygon", "_level", "_iy")
-        .agg(
-            F.collect_list(
-                F.col("edge.a.lon") + (F.col("edge.b.lon") - F.col("edge.a.lon")) * slope
-            ).alias("_passes")
-        )
+        .agg(F.collect_list(F.expr(passing)).alias("_passes"))
     )
 
     extent = sized.groupBy(*keep, "_level").agg(
@@ -136,12 +128,12 @@ def polygon_index(
         F.min("_y0").alias("_y0"),
         F.max("_y1").alias("_y1"),
     )
-    east_of = F.size(F.filter("_passes", lambda x: x > _reference("_ix")))
+    east_of = f"size(filter(_passes, x -> x > {_reference('_ix')}))"
     return (
         extent.withColumn("_iy", F.explode(_cells("_y0", "_y1", margin=1)))
         .join(passes, ["_polygon", "_level", "_iy"], "left")
         .withColumn("_ix", F.explode(_cells("_x0", "_x1", margin=1)))
-        .withColumn("inside", F.coalesce(east_of % 2 == 1, F.lit(False)))
+        .withColumn("inside", F.expr(f"coalesce({east_of} % 2 = 1, false)"))
         .join(near, ["_polygon", *CELL], "left")
         .withColumn("edges", F.coalesce("edges", F.array().cast(near.schema["edges"].dataType)))
         .where(F.col("inside") | (F.size("edges") > 0))
@@ -156,17 +148,17 @@ def union_index(polygons: DataFrame, rings: str, **options) -> DataFrame:
 
 
 def _cells(low: str, high: str, margin: int) -> Column:
-    first = F.floor(F.col(low) / F.col("_size")) - margin
-    last = F.floor(F.col(high) / F.col("_size")) + margin
-    return F.sequence(first, last)
+    return F.expr(
+        f"sequence(floor({low} / _size) - {margin}, floor({high} / _size) + {margin})"
+    )
 
 
 def _size_of(level: str) -> Column:
-    return F.get(F.array([F.lit(s) for s in CELL_SIZES]), F.col(level))
+    return F.expr(f"get(array({', '.join(f'{s}D' for s in CELL_SIZES)}), {level})")
 
 
-def _reference(cell: str) -> Column:
-    return (F.col(cell) + OFF_CENTRE) * F.col("_size")
+def _reference(cell: str) -> str:
+    return f"(({cell} + {OFF_CENTRE}D) * _size)"
 
 
 # ---- lines ----------------------------------------------------------------------
@@ -174,29 +166,28 @@ def _reference(cell: str) -> Column:
 
 def with_cell(lines: DataFrame, line: str) -> DataFrame:
     """Add the one index cell that decides about each two-point line."""
-    p, q = F.get(F.col(line), F.lit(0)), F.get(F.col(line), F.lit(1))
-    extent = F.greatest(F.abs(p["lon"] - q["lon"]), F.abs(p["lat"] - q["lat"]))
-    level = F
-    for i, size in enumerate(CELL_SIZES[:-1]):
-        level = level.when(extent <= size, F.lit(i))
+    p, q = geo.first(line), geo.second(line)
+    extent = f"greatest(abs({p}.lon - {q}.lon), abs({p}.lat - {q}.lat))"
+    cases = " ".join(f"when {extent} <= {s}D then {i}" for i, s in enumerate(CELL_SIZES[:-1]))
     return (
-        lines.withColumn("_level", level.otherwise(F.lit(len(CELL_SIZES) - 1)))
+        lines.withColumn("_level", F.expr(f"case {cases} else {len(CELL_SIZES) - 1} end"))
         .withColumn("_size", _size_of("_level"))
-        .withColumn("_ix", F.floor(p["lon"] / F.col("_size")))
-        .withColumn("_iy", F.floor(p["lat"] / F.col("_size")))
+        .withColumn("_ix", F.expr(f"floor({p}.lon / _size)"))
+        .withColumn("_iy", F.expr(f"floor({p}.lat / _size)"))
     )
 
 
-def contains(point: Column, inside: Column, edges: Column) -> Column:
+def contains(point: str, inside: str, edges: str) -> str:
     """Whether a point of the cell's block lies in the polygon."""
     reference = geo.point(_reference("_ix"), _reference("_iy"))
-    swaps = F.size(F.filter(edges, lambda e: geo.swaps_side(point, reference, e)))
-    return inside != (swaps % 2 == 1)
+    swaps = f"size(filter({edges}, e -> {geo.swaps_side(point, reference, 'e')}))"
+    return f"({inside} <> ({swaps} % 2 = 1))"
 
 
-def intersects(line: Column, inside: Column, edges: Column) -> Column:
-    p, q = F.get(line, F.lit(0)), F.get(line, F.lit(1))
-    return F.exists(edges, lambda e: geo.crosses(p, q, e)) | contains(p, inside, edges)
+def intersects(line: str, inside: str, edges: str) -> str:
+    p, q = geo.first(line), geo.second(line)
+    meets_border = f"exists({edges}, e -> {geo.crosses(p, q, 'e')})"
+    return f"({meets_border} or {contains(p, inside, edges)})"
 
 
 def with_clip(lines: DataFrame, line: str, into: str) -> DataFrame:
@@ -205,50 +196,37 @@ def with_clip(lines: DataFrame, line: str, into: str) -> DataFrame:
     `lines` comes from `join_polygons`. A line that lies within the polygon comes back
     as a single part equal to itself; one that only touches it gives no part.
     """
-    inside, edges = F.col("inside"), F.col("edges")
-    p, q = F.get(F.col(line), F.lit(0)), F.get(F.col(line), F.lit(1))
-    cuts, kept = F.col("_cuts"), F.col("_kept")
-
-    crossed = F.filter(edges, lambda e: geo.crosses(p, q, e))
-    met = F.filter(
-        F.transform(crossed, lambda e: geo.crossing_fraction(p, q, e)),
-        lambda t: (t > 0.0) & (t < 1.0),
+    p, q = geo.first(line), geo.second(line)
+    crossed = f"filter(edges, e -> {geo.crosses(p, q, 'e')})"
+    met = f"transform({crossed}, e -> {geo.crossing_fraction(p, q, 'e')})"
+    cuts = (
+        f"array_sort(array_distinct(concat(array(0D), filter({met}, t -> t > 0 and t < 1),"
+        " array(1D))))"
     )
-    all_cuts = F.array_sort(
-        F.array_distinct(F.concat(F.array(F.lit(0.0)), met, F.array(F.lit(1.0))))
-    )
-
-    def middle(i: Column) -> Column:
-        return geo.along(p, q, (F.get(cuts, i - 1) + F.get(cuts, i)) / 2.0)
+    middle = geo.along(p, q, "((get(_cuts, i - 1) + get(_cuts, i)) / 2D)")
+    middles = f"transform(sequence(1, size(_cuts) - 1), i -> {middle})"
 
-    middles = F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), middle)
+    def is_kept(i: str) -> str:
+        return f"({i} >= 0 and coalesce(get(_kept, {i}), false))"
 
-    def is_kept(i: Column) -> Column:
-        return (i >= 0) & F.coalesce(F.get(kept, i), F.lit(False))
+    def vertex(t: str) -> str:
+        return f"case {t} when 0D then {p} when 1D then {q} else {geo.along(p, q, t)} end"
 
-    def vertex(t: Column) -> Column:
-        return F.when(t == 0.0, p).when(t == 1.0, q).otherwise(geo.along(p, q, t))
-
-    pieces = F.sequence(F.lit(0), F.size(kept) - 1)
-    bounds = F.arrays_zip(
-        F.filter(pieces, lambda i: is_kept(i) & ~is_kept(i - 1)).alias("first"),
-        F.filter(pieces, lambda i: is_kept(i) & ~is_kept(i + 1)).alias("last"),
-    )
-    parts = F.transform(
-        bounds,
-        lambda b: geo.line(vertex(F.get(cuts, b["first"])), vertex(F.get(cuts, b["last"] + 1))),
-    )
+    pieces = "sequence(0, size(_kept) - 1)"
+    first = f"filter({pieces}, i -> {is_kept('i')} and not {is_kept('i - 1')})"
+    last = f"filter({pieces}, i -> {is_kept('i')} and not {is_kept('i + 1')})"
+    part = f"array({vertex('get(_cuts, i)')}, {vertex('get(_cuts, j + 1)')})"
     return (
-        lines.withColumn("_cuts", all_cuts)
-        .withColumn("_kept", F.transform(middles, lambda m: contains(m, inside, edges)))
-        .withColumn(into, parts)
+        lines.withColumn("_cuts", F.expr(cuts))
+        .withColumn("_kept", F.expr(f"transform({middles}, m -> {contains('m', 'inside', 'edges')})"))
+        .withColumn(into, F.expr(f"zip_with({first}, {last}, (i, j) -> {part})"))
         .drop("_cuts", "_kept")
     )
 
 
-def is_whole(parts: Column, line: Column) -> Column:
+def is_whole(parts: str, line: str) -> str:
     """Whether a clip kept the whole line, that is, the polygon covers it."""
-    return (F.size(parts) == 1) & (F.get(parts, F.lit(0)) == line)
+    return f"(size({parts}) = 1 and get({parts}, 0) = {line})"
 
 
 # ---- joins ----------------------------------------------------------------------
@@ -266,18 +244,18 @@ def join_polygons(
     joined = with_cell(lines, line).join(index, CELL)
     if condition is not None:
         joined = joined.where(condition)
-    return joined.where(intersects(F.col(line), F.col("inside"), F.col("edges")))
+    return joined.where(intersects(line, "inside", "edges"))
 
 
-def with_touch_flag(lines: DataFrame, line: str, polygons: DataFrame, rings: str, into: str, **options) -> DataFrame:
+def with_touch_flag(
+    lines: DataFrame, line: str, polygons: DataFrame, rings: str, into: str, **options
+) -> DataFrame:
     """Add whether each line meets the union of the polygons; FALSE if there are none."""
     index = union_index(polygons, rings, **options)
-    touch = F.exists(
-        "parts", lambda part: intersects(F.col(line), part["inside"], part["edges"])
-    )
+    touch = f"exists(parts, part -> {intersects(line, 'part.inside', 'part.edges')})"
     return (
         with_cell(lines, line)
         .join(index, CELL, "left")
-        .withColumn(into, F.coalesce(touch, F.lit(False)))
+        .withColumn(into, F.expr(f"coalesce({touch}, false)"))
         .drop(*CELL_COLUMNS, "parts")
     )

@@ -603,7 +603,7 @@ def run_tolerance(c: Chain) -> DataFrame:
 def run_simplify(c: Chain) -> DataFrame:
     found = runs.build_runs(c.segments, EVER)
     return found.withColumn("paths", F.size("geom")).withColumn(
-        "kept_points", geo.point_count(F.col("geom"))
+        "kept_points", geo.point_count("geom")
     )
 
 
@@ -630,7 +630,7 @@ def vsr_covered(c: Chain) -> DataFrame:
 @query
 def vsr_clip(c: Chain) -> DataFrame:
     found = zones.segments_in_zones(c.inland_segments, c.zones)
-    length = geo.length_m(F.col("vsr_linestring"))
+    length = geo.length_m("vsr_linestring")
     return found.select(
         "mmsi",
         "num",
@@ -655,7 +655,7 @@ def vsr_join_legacy(c: Chain) -> DataFrame:
 def vsr_runs_join(c: Chain) -> DataFrame:
     found = zones.clip_runs_to_zones(c.runs_legacy, c.zones, EVER)
     return found.withColumn(
-        "inside_nm", numeric.rounded(geo.length_m(F.col("vsr_geom")) * speed.M_TO_NM, 4)
+        "inside_nm", numeric.rounded(geo.length_m("vsr_geom") * speed.M_TO_NM, 4)
     )
 
 

@@ -79,8 +79,8 @@ def run_lines(line: str) -> Column:
     """
     hop = F.struct(
         F.col("timestamp"),
-        F.get(F.col(line), F.lit(0)).alias("beg"),
-        F.get(F.col(line), F.lit(1)).alias("end"),
+        F.expr(geo.first(line)).alias("beg"),
+        F.expr(geo.second(line)).alias("end"),
     )
     return F.collect_list(F.when(F.col(line).isNotNull(), hop))
 
@@ -100,7 +100,7 @@ def run_geometries(
     runs = numbered_runs(off_coast(newer(segments, since)), slice_hours=slice_hours)
     collected = _aggregated(runs, run_measures() | {"hops": run_lines("linestring")})
     chained = geo.with_chained(collected, "hops", "paths")
-    return chained.withColumn("npts", geo.point_count(F.col("paths")))
+    return chained.withColumn("npts", geo.point_count("paths"))
 
 
 def build_runs(
@@ -121,7 +121,7 @@ def _aggregated(runs: DataFrame, measures: dict[str, Column]) -> DataFrame:
 
 def choose_speeds_legacy(pairs: DataFrame) -> DataFrame:
     """Distance, speeds and class of each message's way to the next one, earlier form."""
-    metres = geo.haversine_m(F.col("point"), F.col("next_point"))
+    metres = F.expr(geo.haversine_m("point", "next_point"))
     return (
         pairs.withColumn("calculated_knots", calculated_knots(metres, elapsed("MILLISECOND")))
         .withColumn("distance_nm", metres * M_TO_NM)
@@ -151,9 +151,7 @@ def build_runs_legacy(
 ) -> DataFrame:
     """Earlier form of runs: gaps are bridged, and a geometry exists up to two hours."""
     rows = numbered_runs_legacy(messages, vessels, since, slice_hours=slice_hours)
-    line = F.when(
-        F.col("next_point").isNotNull(), geo.line(F.col("point"), F.col("next_point"))
-    )
+    line = F.when(F.col("next_point").isNotNull(), F.array("point", "next_point"))
     seconds = F.timestamp_diff("SECOND", F.min("timestamp"), F.max("timestamp_end"))
     runs = (
         rows.withColumn("line", line)
@@ -174,7 +172,7 @@ def build_runs_legacy(
         )
     )
     chained = geo.with_chained(runs, "hops", "geom")
-    kept = chained.withColumn("npts", geo.point_count(F.col("geom"))).where(
+    kept = chained.withColumn("npts", geo.point_count("geom")).where(
         (F.col("npts") > 1)
         & F.col("geom").isNotNull()
         & (F.col("total_distance_nm") > 0)

@@ -61,14 +61,13 @@ def point_pairs(
     messages: DataFrame, *, carry: list[str], slice_hours: int = SLICE_HOURS
 ) -> DataFrame:
     """Each message with the vessel's following one, numbered along the vessel's time."""
-    rows = sliced(messages.where("mmsi is not null"), "mmsi", "timestamp", slice_hours)
-    placed = geo.point(F.col("lon"), F.col("lat"))
+    rows = sliced(messages, "mmsi", "timestamp", slice_hours)
     order = time_order(messages)
     return with_next(rows, "mmsi", order, carry, number="num").select(
         "*",
-        placed.alias("point"),
+        F.expr(geo.point("lon", "lat")).alias("point"),
         F.when(
-            F.col("next").isNotNull(), geo.point(F.col("next.lon"), F.col("next.lat"))
+            F.col("next").isNotNull(), F.expr(geo.point("next.lon", "next.lat"))
         ).alias("next_point"),
     )
 
@@ -88,7 +87,7 @@ def is_segment(reach: Reach = REACH) -> Column:
 
 
 def measured(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumn("metres", geo.haversine_m(F.col("next_point"), F.col("point")))
+    return pairs.withColumn("metres", F.expr(geo.haversine_m("next_point", "point")))
 
 
 def build_segments(
@@ -155,7 +154,7 @@ def build_segments_simple(
     return conform(
         kept.withColumn("date_diff_minutes", elapsed("MINUTE"))
         .withColumn("distance", num(F.col("metres")))
-        .withColumn("linestring", geo.line(F.col("point"), F.col("next_point"))),
+        .withColumn("linestring", F.array("point", "next_point")),
         SEGMENTS_SIMPLE,
     )
 
@@ -197,7 +196,7 @@ def _measures(pairs: DataFrame, digits: int | None) -> DataFrame:
         *(["source", "region"] if "region" in pairs.columns else ["source"]),
         num(F.col("gt")).alias("gt"),
         "point",
-        geo.line(F.col("point"), F.col("next_point")).alias("linestring"),
+        F.array("point", "next_point").alias("linestring"),
         "next",
     )
 

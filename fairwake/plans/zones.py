@@ -39,7 +39,7 @@ def segments_in_zones(
     return (
         with_clip(met, "linestring", "vsr_linestring")
         .withColumn("vsr_linestring", F.col("vsr_linestring").cast(MULTILINE))
-        .withColumn("covered", is_whole(F.col("vsr_linestring"), F.col("linestring")))
+        .withColumn("covered", F.expr(is_whole("vsr_linestring", "linestring")))
         .drop(*CELL_COLUMNS, "inside", "edges")
     )
 
@@ -97,7 +97,7 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
             "timestamp_beg",
             "timestamp_end",
             "_path",
-            F.posexplode(_hops(F.col("_points"))).alias("_hop", "line"),
+            F.posexplode(_two_point_lines("_points")).alias("_hop", "line"),
         )
     )
     met = join_polygons(lines, "line", zone_index(zones), in_season)
@@ -106,8 +106,8 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
     hop = F.struct(
         "_path",
         "_hop",
-        F.get("_part", F.lit(0)).alias("beg"),
-        F.get("_part", F.lit(1)).alias("end"),
+        F.expr(geo.first("_part")).alias("beg"),
+        F.expr(geo.second("_part")).alias("end"),
     )
     hops = parts.groupBy(*RUN_KEY, "_polygon", "vsr_category", "vsr_region").agg(
         F.collect_list(F.when(F.col("_part").isNotNull(), hop)).alias("_hops")
@@ -124,9 +124,6 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
     )
 
 
-def _hops(points: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.size(points) - 1),
-        lambda i: F.array(F.get(points, i - 1), F.get(points, i)),
-    )
-
+def _two_point_lines(points: str) -> Column:
+    line = f"array(get({points}, i - 1), get({points}, i))"
+    return F.expr(f"transform(sequence(1, size({points}) - 1), i -> {line})")

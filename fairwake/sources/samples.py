@@ -137,7 +137,8 @@ def shiptype_categories(spark: SparkSession) -> DataFrame:
 
 
 def _polygon(ring: list[tuple[float, float]]) -> Column:
-    return F.array(F.array(*[geo.point(F.lit(lon), F.lit(lat)) for lon, lat in ring]))
+    points = ", ".join(geo.point(str(lon), str(lat)) for lon, lat in ring)
+    return F.expr(f"array(array({points}))")
 
 
 def _inline(spark: SparkSession, rows: list[Column]) -> DataFrame:
