@@ -125,7 +125,8 @@ def with_chained(rows: DataFrame, hops: str, into: str) -> DataFrame:
 
 def path_gaps_m(paths: str) -> Column:
     """Distances from the end of each path to the start of the next one."""
-    gap = haversine_m(f"element_at(get({paths}, i - 1), -1)", f"get(get({paths}, i), 0)")
+    last = f"get(get({paths}, i - 1), size(get({paths}, i - 1)) - 1)"
+    gap = haversine_m(last, f"get(get({paths}, i), 0)")
     return F.expr(
         f"case when size({paths}) > 1 then"
         f" transform(sequence(1, size({paths}) - 1), i -> {gap}) end"

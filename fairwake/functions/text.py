@@ -10,7 +10,7 @@ MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 
 
 def month_name(month: Column) -> Column:
-    return F.element_at(F.array([F.lit(m) for m in MONTHS]), month.cast("int"))
+    return F.get(F.array([F.lit(m) for m in MONTHS]), month.cast("int") - 1)
 
 
 def listed(values: Column) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from fairwake.schemas import conform
 
 LOAD, DAY = "load", "date"
+EVERY_DAY = dt.date(1900, 1, 1)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -68,14 +69,15 @@ def scan_table(
 def append_load(
     df: DataFrame, path: str, load_id: str, schema: T.StructType, *, day: Column, cluster: list[str]
 ) -> None:
-    """Write one load, a directory per day, sorted for scans by the cluster columns.
+    """Write one load, a directory per day, sorted within files by the cluster columns.
 
-    Rows are spread by day and first cluster column, so a day is written by several
-    tasks and a task writes few days.
+    Rows are rebalanced by day: adaptive execution splits a day that is larger than the
+    advisory partition size over several tasks, whichever vessels it consists of, and
+    puts small days together.
     """
     rows = conform(df, schema).withColumn(DAY, day)
     (
-        rows.repartition(F.col(DAY), F.col(cluster[0]))
+        rows.hint("rebalance", DAY)
         .sortWithinPartitions(DAY, *cluster)
         .write.mode("overwrite")
         .partitionBy(DAY)

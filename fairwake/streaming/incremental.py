@@ -90,7 +90,7 @@ def watermark(
     nothing, as between two seasons, is the whole table searched, and only an empty
     table gets the default: starting over would load rows twice.
     """
-    for first_day in (today - table.look_back + dt.timedelta(days=1), dt.date.min):
+    for first_day in (today - table.look_back + dt.timedelta(days=1), tables.EVERY_DAY):
         rows = tables.scan_table(spark, path, table.schema, first_day)
         # Read as microseconds: a timestamp would come back in the driver's time zone.
         micros = newest(rows, table.newest).select(F.unix_micros("newest_timestamp")).first()[0]
