@@ -8,6 +8,8 @@ from checks.sql import (
     speed_bin, text,
 )
 
+from fairwake.plans.catalog import SPARSE_INTEGERS
+
 FINALS: dict[str, str] = {}
 
 _MESSAGE = f"""mmsi, timestamp, lon, lat, {dbl('speed_knots')} AS speed_knots,
@@ -364,4 +366,14 @@ FINALS["operator_lists"] = """
 SELECT operator, operator_code, vsr_region, date, ship_count, mmsi_list, ship_types, name_of_ships,
   ship_categories_list, operator_ship_categories FROM day_operator"""
 
-STATEMENTS = {name: query(final) for name, final in FINALS.items()}
+
+
+def _shown(name: str) -> str:
+    sparse = SPARSE_INTEGERS.get(name)
+    if sparse is None:
+        return FINALS[name]
+    casts = ", ".join(f"{dbl(column)} AS {column}" for column in sparse)
+    return f"SELECT * REPLACE ({casts}) FROM ({FINALS[name]})"
+
+
+STATEMENTS = {name: query(_shown(name)) for name in FINALS}

@@ -25,6 +25,31 @@ MIDDLE = dt.datetime(2024, 1, 15, 12, tzinfo=UTC)
 # Days on which the look-backs reach the sample month wholly, partly and not at all.
 AS_OF = [dt.date(2024, 1, 31), dt.date(2024, 2, 20), dt.date(2024, 4, 1)]
 
+# Integer columns in which values can be missing; they are shown as doubles, because
+# table libraries disagree on how to hold a missing integer.
+SPARSE_INTEGERS = {
+    "ais_ingest": ["mmsi"],
+    "ais_ingest_legacy": ["mmsi"],
+    "incremental_append": ["mmsi"],
+    "safe_cast": ["mmsi"],
+    "format_messages": ["mmsi"],
+    "left_join_registry": ["mmsi", "gt"],
+    "speed_bins_strict": ["speed_bin_num", "implied_speed_bin_num", "shifted_speed_bin_num"],
+    "speed_choice_legacy": ["speed_bin_num"],
+    "segment_filter": ["minutes"],
+    "segment_filter_legacy": ["minutes"],
+    "bin_change_flag": ["seg_chg"],
+    "sessionize_bins": ["segid", "seg_id"],
+    "sessionize_rows": ["seg_chg", "segid", "seg_id"],
+    "speed_runs": ["seg_id"],
+    "run_npts": ["seg_id"],
+    "run_geometry": ["seg_id"],
+    "run_tolerance": ["seg_id", "tolerance_m"],
+    "run_simplify": ["seg_id"],
+    "runs_legacy": ["seg_id", "speed_bin_num"],
+    "vsr_runs_join": ["seg_id", "speed_bin_num"],
+}
+
 Query = Callable[["Chain"], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -34,14 +59,14 @@ def query(build: Query) -> Query:
     return build
 
 
-def plain(df: DataFrame) -> DataFrame:
+def plain(df: DataFrame, sparse: list[str]) -> DataFrame:
     """Comparable columns: naive UTC timestamps, doubles for decimals, no geometry."""
     out = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
-        elif isinstance(field.dataType, T.DecimalType):
+        elif isinstance(field.dataType, T.DecimalType) or field.name in sparse:
             column = column.cast("double")
         elif isinstance(field.dataType, T.IntegerType):
             column = column.cast("bigint")
@@ -730,8 +755,10 @@ def operator_lists(c: Chain) -> DataFrame:
 
 
 def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bound(build: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: plain(build(Chain(spark, folder)))
+    def bound(name: str, build: Query) -> Callable[[SparkSession, str], DataFrame]:
+        sparse = SPARSE_INTEGERS.get(name, [])
+        return lambda spark, folder: plain(build(Chain(spark, folder)), sparse)
 
-    return {name.rstrip("_"): bound(build) for name, build in QUERIES.items()}
+    named = {name.rstrip("_"): build for name, build in QUERIES.items()}
+    return {name: bound(name, build) for name, build in named.items()}
 
