@@ -230,9 +230,8 @@ FINALS["vsr_clip"] = f"""
 SELECT mmsi, num, {_ZONE}, {big('CASE WHEN t0 < t1 THEN 1 ELSE 0 END')} AS lines, {_INSIDE_NM} AS inside_nm FROM vsr"""
 FINALS["vsr_segments"] = f"SELECT {_SEGMENT}, region, touches_coast, {_ZONE} FROM vsr"
 FINALS["vsr_join_legacy"] = f"""
-SELECT s.* FROM (SELECT {_SEGMENT_LEGACY} FROM seg_legacy) s
+SELECT s.*, h.vsr_category FROM (SELECT {_SEGMENT_LEGACY} FROM seg_legacy) s
   JOIN (SELECT * FROM zone_hit_legacy) h ON s.mmsi = h.mmsi AND s.num = h.num"""
-FINALS["vsr_join_legacy"] = FINALS["vsr_join_legacy"].replace("SELECT s.*", "SELECT s.*, h.vsr_category", 1)
 FINALS["chain_legacy"] = f"""
 SELECT s.*, h.vsr_category FROM (SELECT {_SIMPLE} FROM seg_small) s
   JOIN (SELECT * FROM zone_hit_small) h ON s.mmsi = h.mmsi AND s.num = h.num"""
@@ -312,23 +311,22 @@ _OTHERS = ", ".join(
 )
 
 
-def _ship_scorecard(table: str, period: str, kind: str, partition: str, order: str) -> str:
+def _ship_scorecard(table: str, period: str, kind: str, unit: str, partition: str) -> str:
     window = (
-        f"PARTITION BY {partition} ORDER BY {order}, {_OTHERS} ROWS BETWEEN 12 PRECEDING AND CURRENT ROW"
+        f"PARTITION BY {partition} ORDER BY {unit}, {_OTHERS} ROWS BETWEEN 12 PRECEDING AND CURRENT ROW"
     )
     shares = ", ".join(
         f"{_share(b, 2)} AS percent_distance_{b.removeprefix('total_distance_nm_')}" for b in _BANDS
     )
-    short = kind.removesuffix("ly").removesuffix("ual") if kind == "monthly" else "year"
     return f"""
-SELECT {_NAMES}, {period}, {dbl('shown')} AS coop_score_{kind}, {grade('score')} AS {short}_grade,
+SELECT {_NAMES}, {period}, {dbl('shown')} AS coop_score_{kind}, {grade('score')} AS {unit}_grade,
   {dbl(rnd(mean_over('shown', window), 3))} AS rolling_coop_score, {_ROUNDED}, {shares},
   min_timestamp, max_timestamp, day_count, seg_count
 FROM (SELECT *, {rnd('score', 2)} AS shown FROM {table})"""
 
 
-FINALS["ship_monthly"] = _ship_scorecard("month_ship", "month, year", "monthly", "mmsi, year", "month")
-FINALS["ship_annual"] = _ship_scorecard("year_ship", "year", "annual", "mmsi", "year")
+FINALS["ship_monthly"] = _ship_scorecard("month_ship", "month, year", "monthly", "month", "mmsi, year")
+FINALS["ship_annual"] = _ship_scorecard("year_ship", "year", "annual", "year", "mmsi")
 
 _LISTS = "ship_categories_list, mmsi_list, name_of_ships"
 

@@ -24,7 +24,7 @@ def sliced(df: DataFrame, key: str, time: str, hours: int = SLICE_HOURS) -> Data
     before the shuffle, and not leaving it to the later join, keeps the shuffled rows
     the same for both of their uses, so that they are shuffled once.
     """
-    slice_no = F.floor(F.unix_seconds(F.col(time)) / F.lit(hours * 3600))
+    slice_no = F.expr(f"floor(unix_seconds({time}) / {hours * 3600})")
     placed = df.withColumn(SLICE, slice_no).where(
         F.col(key).isNotNull() & F.col(SLICE).isNotNull()
     )

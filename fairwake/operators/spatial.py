@@ -15,14 +15,18 @@ Lines and polygons across the 180 degree meridian must be split by the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairwake.functions import geo
 
 CELL_SIZES = (0.125, 1.0, 8.0, 360.0)
 CELL = ["_level", "_ix", "_iy"]
-CELL_COLUMNS = [*CELL, "_size", "_polygon"]
+CELL_COLUMNS = [*CELL, "_size"]
+# Largest index that is broadcast, and what a cell (with its polygon's attributes) and
+# an edge take in memory, rounded up.
+BROADCAST_LIMIT_BYTES = 64 << 20
+CELL_BYTES, EDGE_BYTES = 256, 80
 # Reference points sit off-centre by an irrational share, so that polygon vertices and
 # edges given in round degrees do not meet them.
 OFF_CENTRE = 0.41421356237
@@ -31,49 +35,38 @@ OFF_CENTRE = 0.41421356237
 # ---- polygons -------------------------------------------------------------------
 
 
-def polygon_edges(polygons: DataFrame, rings: str, keep: list[str]) -> DataFrame:
-    """One row per polygon edge, as edge struct<a, b>; rings need not repeat a point."""
-    edges = F.expr(
-        "transform(_ring, (p, i) -> named_struct('a', p, 'b', get(_ring, (i + 1) % size(_ring))))"
-    )
-    return (
-        polygons.select(*keep, F.explode(rings).alias("_ring"))
-        .select(*keep, F.explode(edges).alias("edge"))
-        .where(f"not {geo.same_point('edge.a', 'edge.b')}")
-    )
+def polygon_edges(rings: str) -> str:
+    """Edges of a polygon as an array of struct<a, b>; rings need not repeat a point."""
+    edges = "transform(ring, (p, i) -> named_struct('a', p, 'b', get(ring, (i + 1) % size(ring))))"
+    proper = f"filter({edges}, e -> not {geo.same_point('e.a', 'e.b')})"
+    return f"flatten(transform({rings}, ring -> {proper}))"
 
 
-def geodesic_edges(edges: DataFrame, max_degrees: float = 0.1) -> DataFrame:
+def geodesic_edges(edges: str, max_degrees: float = 0.1) -> str:
     """Split each edge along its great circle so that no piece is longer than given."""
 
     def vertex(k: str) -> str:
-        def mixed(of_a: str, of_b: str) -> str:
-            t = f"(({k}) / cast(_pieces as double))"
-            return f"((sin((1D - {t}) * _arc) * {of_a} + sin({t} * _arc) * {of_b}) / sin(_arc))"
-
-        x, y, z = (
-            mixed(of.format("edge.a"), of.format("edge.b"))
-            for of in (
-                "cos(radians({0}.lat)) * cos(radians({0}.lon))",
-                "cos(radians({0}.lat)) * sin(radians({0}.lon))",
-                "sin(radians({0}.lat))",
-            )
-        )
+        def mixed(term: str) -> str:
+            t = f"(({k}) / cast(e.n as double))"
+            of_a, of_b = term.format("e.a"), term.format("e.b")
+            return f"((sin((1D - {t}) * e.arc) * {of_a} + sin({t} * e.arc) * {of_b}) / sin(e.arc))"
+
+        x = mixed("cos(radians({0}.lat)) * cos(radians({0}.lon))")
+        y = mixed("cos(radians({0}.lat)) * sin(radians({0}.lon))")
+        z = mixed("sin(radians({0}.lat))")
         between = geo.point(
             f"degrees(atan2({y}, {x}))", f"degrees(atan2({z}, sqrt({x} * {x} + {y} * {y})))"
         )
-        return f"case {k} when 0 then edge.a when _pieces then edge.b else {between} end"
-
-    split = f"named_struct('a', {vertex('k')}, 'b', {vertex('k + 1')})"
-    others = [c for c in edges.columns if c != "edge"]
-    return (
-        edges.withColumn("_arc", F.expr(geo.haversine_m("edge.a", "edge.b", radius=1.0)))
-        .withColumn("_pieces", F.expr(f"int(greatest(1, ceil(degrees(_arc) / {max_degrees}D)))"))
-        .select(
-            *others,
-            F.explode(F.expr(f"transform(sequence(0, _pieces - 1), k -> {split})")).alias("edge"),
-        )
+        return f"case {k} when 0 then e.a when e.n then e.b else {between} end"
+
+    arc = geo.haversine_m("e.a", "e.b", radius=1.0)
+    n = f"int(greatest(1, ceil(degrees({arc}) / {max_degrees}D)))"
+    measured = f"transform({edges}, e -> named_struct('a', e.a, 'b', e.b, 'arc', {arc}, 'n', {n}))"
+    pieces = (
+        "transform(sequence(0, e.n - 1),"
+        f" k -> named_struct('a', {vertex('k')}, 'b', {vertex('k + 1')}))"
     )
+    return f"flatten(transform({measured}, e -> {pieces}))"
 
 
 def polygon_index(
@@ -81,63 +74,45 @@ def polygon_index(
 ) -> DataFrame:
     """One row per polygon and cell it can matter in.
 
-    Columns: an id (`_polygon`), the attributes, the cell, `inside` (the cell's reference point lies in the
-    polygon) and `edges` (those in the block of cells around it). Equal polygons with
-    equal attributes stay separate.
+    Columns: the attributes, the cell, `inside` (the cell's reference point lies in the
+    polygon) and `edges` (those in the block of cells around it). A polygon is cut first
+    into rows of cells and these into cells, each from its own row, without a shuffle.
+    Equal polygons stay separate.
     """
-    occurrence = F.row_number().over(Window.partitionBy(*attributes, rings).orderBy(F.lit(1)))
-    named = polygons.select(*attributes, rings).withColumn("_copy", occurrence)
-    named = named.withColumn("_polygon", F.xxhash64(*attributes, rings, "_copy"))
-    keep = ["_polygon", *attributes]
-
-    edges = polygon_edges(named, rings, keep)
-    if geodesic:
-        edges = geodesic_edges(edges)
-    bounded = edges.select(
+    edges = polygon_edges(rings)
+    whole = polygons.select(
+        *attributes, F.expr(geodesic_edges(edges) if geodesic else edges).alias("_edges")
+    ).selectExpr(
         "*",
-        F.least("edge.a.lon", "edge.b.lon").alias("_x0"),
-        F.greatest("edge.a.lon", "edge.b.lon").alias("_x1"),
-        F.least("edge.a.lat", "edge.b.lat").alias("_y0"),
-        F.greatest("edge.a.lat", "edge.b.lat").alias("_y1"),
+        "array_min(_edges.a.lon) as _x0",
+        "array_max(_edges.a.lon) as _x1",
+        "array_min(_edges.a.lat) as _y0",
+        "array_max(_edges.a.lat) as _y1",
     )
-    sized = bounded.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(len(CELL_SIZES) - 1))))
-    sized = sized.withColumn("_size", _size_of("_level"))
-
-    # Edges per cell: an edge belongs to every cell whose block it reaches.
-    near = (
-        sized.withColumn("_ix", F.explode(_cells("_x0", "_x1", margin=1)))
-        .withColumn("_iy", F.explode(_cells("_y0", "_y1", margin=1)))
-        .groupBy("_polygon", *CELL)
-        .agg(F.collect_list("edge").alias("edges"))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(len(CELL_SIZES) - 1)))
+    sized = whole.withColumn("_level", levels).withColumn("_size", _size_of("_level"))
+
+    # Edges reaching a row's block, and the longitudes at which the border passes the
+    # reference latitude of the row.
+    passes = f"(e.a.lat > {_reference('_iy')}) <> (e.b.lat > {_reference('_iy')})"
+    longitude = (
+        f"e.a.lon + (e.b.lon - e.a.lon) * ({_reference('_iy')} - e.a.lat) / (e.b.lat - e.a.lat)"
     )
-
-    # Longitudes at which the border passes the reference latitude of a row of cells.
-    passing = "edge.a.lon + (edge.b.lon - edge.a.lon) * (_ref - edge.a.lat) / (edge.b.lat - edge.a.lat)"
-    passes = (
-        sized.withColumn("_iy", F.explode(_cells("_y0", "_y1", margin=1)))
-        .withColumn("_ref", F.expr(_reference("_iy")))
-        .where("(edge.a.lat > _ref) <> (edge.b.lat > _ref)")
-        .groupBy("_polygon", "_level", "_iy")
-        .agg(F.collect_list(F.expr(passing)).alias("_passes"))
-    )
-
-    extent = sized.groupBy(*keep, "_level").agg(
-        F.first("_size").alias("_size"),
-        F.min("_x0").alias("_x0"),
-        F.max("_x1").alias("_x1"),
-        F.min("_y0").alias("_y0"),
-        F.max("_y1").alias("_y1"),
+    rows = (
+        sized.withColumn("_iy", F.explode(_cells("_y0", "_y1")))
+        .withColumn("_row_edges", F.expr(f"filter(_edges, e -> {_reaches('_iy', 'lat')})"))
+        .drop("_edges")
+        .withColumn(
+            "_passes", F.expr(f"transform(filter(_row_edges, e -> {passes}), e -> {longitude})")
+        )
     )
-    east_of = f"size(filter(_passes, x -> x > {_reference('_ix')}))"
+    odd = f"size(filter(_passes, x -> x > {_reference('_ix')})) % 2 = 1"
     return (
-        extent.withColumn("_iy", F.explode(_cells("_y0", "_y1", margin=1)))
-        .join(passes, ["_polygon", "_level", "_iy"], "left")
-        .withColumn("_ix", F.explode(_cells("_x0", "_x1", margin=1)))
-        .withColumn("inside", F.expr(f"coalesce({east_of} % 2 = 1, false)"))
-        .join(near, ["_polygon", *CELL], "left")
-        .withColumn("edges", F.coalesce("edges", F.array().cast(near.schema["edges"].dataType)))
-        .where(F.col("inside") | (F.size("edges") > 0))
-        .select("_polygon", *attributes, *CELL, "inside", "edges")
+        rows.withColumn("_ix", F.explode(_cells("_x0", "_x1")))
+        .withColumn("inside", F.expr(odd))
+        .withColumn("edges", F.expr(f"filter(_row_edges, e -> {_reaches('_ix', 'lon')})"))
+        .where("inside or size(edges) > 0")
+        .select(*attributes, *CELL, "inside", "edges")
     )
 
 
@@ -147,9 +122,16 @@ def union_index(polygons: DataFrame, rings: str, **options) -> DataFrame:
     return index.groupBy(*CELL).agg(F.collect_list(F.struct("inside", "edges")).alias("parts"))
 
 
-def _cells(low: str, high: str, margin: int) -> Column:
-    return F.expr(
-        f"sequence(floor({low} / _size) - {margin}, floor({high} / _size) + {margin})"
+def _cells(low: str, high: str) -> Column:
+    """Cells from low to high and the ones next to them, whose blocks reach there too."""
+    return F.expr(f"sequence(floor({low} / _size) - 1, floor({high} / _size) + 1)")
+
+
+def _reaches(cell: str, axis: str) -> str:
+    """Whether edge e reaches the block of three cells around a cell."""
+    return (
+        f"least(e.a.{axis}, e.b.{axis}) <= ({cell} + 2) * _size"
+        f" and greatest(e.a.{axis}, e.b.{axis}) >= ({cell} - 1) * _size"
     )
 
 
@@ -233,15 +215,10 @@ def is_whole(parts: str, line: str) -> str:
 
 
 def join_polygons(
-    lines: DataFrame, line: str, index: DataFrame, condition: Column | None = None
+    lines: DataFrame, line: str, index: DataFrame, condition: str | None = None
 ) -> DataFrame:
-    """One row per line and polygon that meet, plus `inside` and `edges` for a clip.
-
-    The index is broadcast by Spark itself while it is below the session's broadcast
-    threshold; above it the join shuffles by cell and adaptive execution splits cells
-    that hold too many lines.
-    """
-    joined = with_cell(lines, line).join(index, CELL)
+    """One row per line and polygon that meet, plus `inside` and `edges` for a clip."""
+    joined = with_cell(lines, line).join(measured(index, "size(edges)"), CELL)
     if condition is not None:
         joined = joined.where(condition)
     return joined.where(intersects(line, "inside", "edges"))
@@ -252,10 +229,23 @@ def with_touch_flag(
 ) -> DataFrame:
     """Add whether each line meets the union of the polygons; FALSE if there are none."""
     index = union_index(polygons, rings, **options)
+    edges = "aggregate(parts, 0L, (n, part) -> n + size(part.edges))"
     touch = f"exists(parts, part -> {intersects(line, 'part.inside', 'part.edges')})"
     return (
         with_cell(lines, line)
-        .join(index, CELL, "left")
+        .join(measured(index, edges), CELL, "left")
         .withColumn(into, F.expr(f"coalesce({touch}, false)"))
         .drop(*CELL_COLUMNS, "parts")
     )
+
+
+def measured(index: DataFrame, edges: str) -> DataFrame:
+    """The index, marked for a broadcast join if its counted size allows, else for a merge join.
+
+    Spark cannot foresee how many cells a polygon fills, so the cells and edges are
+    counted first, which is a small job on the polygons alone. In a merge join, lines
+    shuffle by cell and adaptive execution splits cells with too many of them.
+    """
+    cells, all_edges = index.selectExpr("count(*)", f"coalesce(sum({edges}), 0)").first()
+    size = cells * CELL_BYTES + all_edges * EDGE_BYTES
+    return F.broadcast(index) if size <= BROADCAST_LIMIT_BYTES else index.hint("merge")

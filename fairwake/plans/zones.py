@@ -33,7 +33,7 @@ def segments_in_zones(
     Adds the zone's columns, `vsr_linestring` (the part within the zone, several lines
     where the segment leaves and comes back) and `covered`.
     """
-    in_season = F.col("timestamp").between(F.col("datetime_beg"), F.col("datetime_end"))
+    in_season = "timestamp between datetime_beg and datetime_end"
     index = zone_index(zones, geodesic=geodesic)
     met = join_polygons(segments, "linestring", index, in_season)
     return (
@@ -70,6 +70,7 @@ def clip_to_zones_legacy(
     return found.select(*segments.columns, "vsr_category", "vsr_linestring")
 
 
+SEASON = ["datetime_beg", "datetime_end"]
 RUN_KEY = ["mmsi", "date", "seg_id", "speed_bin_num"]
 
 
@@ -80,9 +81,7 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
     as segments do; the parts found are put together again per run and zone, and only
     then is the run's own row joined to them.
     """
-    in_season = (F.col("timestamp_end") <= F.col("datetime_end")) & (
-        F.col("timestamp_beg") >= F.col("datetime_beg")
-    )
+    in_season = "timestamp_end <= datetime_end and timestamp_beg >= datetime_beg"
     bounded = (
         runs.where(F.col("date") > F.lit(since.date()))
         .join(F.broadcast(last_season_end(zones, as_date=True)), F.col("date") <= F.col("_last_end"))
@@ -100,7 +99,11 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
             F.posexplode(_two_point_lines("_points")).alias("_hop", "line"),
         )
     )
-    met = join_polygons(lines, "line", zone_index(zones), in_season)
+    # Equal zones are counted and their rows repeated at the end.
+    distinct = zones.groupBy(*zones.columns).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    zone_row = ["vsr_category", "vsr_region", *SEASON, "_zone", "_copies"]
+    numbered = distinct.withColumn("_zone", F.xxhash64(*zones.columns))
+    met = join_polygons(lines, "line", zone_index(numbered), in_season)
     # A line that only touches a zone keeps its run there, with no part.
     parts = with_clip(met, "line", "_parts").withColumn("_part", F.explode_outer("_parts"))
     hop = F.struct(
@@ -109,7 +112,7 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
         F.expr(geo.first("_part")).alias("beg"),
         F.expr(geo.second("_part")).alias("end"),
     )
-    hops = parts.groupBy(*RUN_KEY, "_polygon", "vsr_category", "vsr_region").agg(
+    hops = parts.groupBy(*RUN_KEY, *zone_row).agg(
         F.collect_list(F.when(F.col("_part").isNotNull(), hop)).alias("_hops")
     )
     found = geo.with_chained(hops, "_hops", "vsr_geom").select(
@@ -117,6 +120,7 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
         "vsr_category",
         "vsr_region",
         F.coalesce(F.col("vsr_geom"), F.array()).cast(MULTILINE).alias("vsr_geom"),
+        F.explode(F.array_repeat("_zone", F.col("_copies"))).alias("_repeated"),
     )
     same_run = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in RUN_KEY]
     return bounded.join(found, same_run).select(

@@ -113,8 +113,8 @@ def test_equal_polygons_repeat_the_line(spark):
 
 def test_geodesic_edges_bulge_towards_the_pole(spark):
     shape = [(-124.0, 36.0), (-122.0, 36.0), (-122.0, 37.0), (-124.0, 37.0)]
-    edges = spatial.polygon_edges(polygons(spark, ("p", [shape])), "geom", ["name"])
-    split = spatial.geodesic_edges(edges, 0.1)
+    edges = spatial.geodesic_edges(spatial.polygon_edges("geom"), 0.1)
+    split = polygons(spark, ("p", [shape])).select(F.explode(F.expr(edges)).alias("edge"))
     row = split.selectExpr(
         "max(edge.a.lat) as top",
         f"max({geo.haversine_m('edge.a', 'edge.b', 1.0)}) as longest",
@@ -123,17 +123,19 @@ def test_geodesic_edges_bulge_towards_the_pole(spark):
     assert 37.002 < row.top < 37.006 and math.degrees(row.longest) <= 0.1 and row.n > 40
 
 
-def test_same_rows_without_broadcast(spark):
+def test_same_rows_without_broadcast(spark, monkeypatch):
     points = [((x / 10, 1.0), (x / 10 + 0.07, 1.05)) for x in range(-5, 100)]
+    some = lines(spark, points)
+    shapes = polygons(spark, ("p", [CONCAVE]))
     with_broadcast = clipped(spark, [CONCAVE], points)
-    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    for name in names:
-        spark.conf.set(name, "-1")
-    try:
-        assert clipped(spark, [CONCAVE], points) == with_broadcast
-    finally:
-        for name in names:
-            spark.conf.unset(name)
+    flags = spatial.with_touch_flag(some, "line", shapes, "geom", "hit")
+    expected = sorted((r.i, r.hit) for r in flags.collect())
+
+    monkeypatch.setattr(spatial, "BROADCAST_LIMIT_BYTES", 0)
+    assert clipped(spark, [CONCAVE], points) == with_broadcast
+    merged = spatial.with_touch_flag(some, "line", shapes, "geom", "hit")
+    assert "SortMergeJoin" in merged._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.i, r.hit) for r in merged.collect()) == expected
 
 
 def test_distance_of_a_degree(spark):
