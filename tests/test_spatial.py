@@ -123,6 +123,14 @@ def test_geodesic_edges_bulge_towards_the_pole(spark):
     assert 37.002 < row.top < 37.006 and math.degrees(row.longest) <= 0.1 and row.n > 40
 
 
+def test_geodesic_index_finds_a_line_under_the_bulge(spark):
+    shape = [(-124.0, 36.0), (-122.0, 36.0), (-122.0, 37.0), (-124.0, 37.0)]
+    under = lines(spark, [((-123.0, 37.001), (-122.99, 37.002)), ((-123.0, 37.1), (-122.99, 37.1))])
+    for geodesic, expected in ((False, []), (True, [0])):
+        index = spatial.polygon_index(polygons(spark, ("p", [shape])), "geom", ["name"], geodesic=geodesic)
+        assert [r.i for r in spatial.join_polygons(under, "line", index).collect()] == expected
+
+
 def test_same_rows_without_broadcast(spark, monkeypatch):
     points = [((x / 10, 1.0), (x / 10 + 0.07, 1.05)) for x in range(-5, 100)]
     some = lines(spark, points)
