@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from fairwake.llm.common import documents
 from fairwake.llm.exact_dedup import exact_groups
+from fairwake.llm.langid import identify
 from fairwake.llm.licenses import license_labels
 from fairwake.llm.quality import quality
 from fairwake.llm.sharding import shard_rows
+from fairwake.llm.simhash import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,23 @@ def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(documents(spark, sf_dir))
+    return groups.select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    return found.select(
+        "doc_id",
+        F.col("language.held_out").alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality(documents(spark, sf_dir))
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -54,7 +73,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_shards, op6_quality_rules, op9_license_scan, op10_exact_dedup)
+    f.__name__: f
+    for f in (op1_shards, op2_simhash, op5_language_id, op6_quality_rules, op9_license_scan, op10_exact_dedup)
 }
 
 STATEMENTS: dict[str, str] = {}
