@@ -84,7 +84,8 @@ def exact_groups(
         ),
         "exact-rows",
     )
-    groups = (
+    # written, so that the join below has a shuffle of its own on either side that can be split
+    groups = written(
         narrow.where("hit")
         .groupBy("full_hash")
         .agg(
@@ -92,7 +93,8 @@ def exact_groups(
             F.min(F.struct(-F.col("points"), F.col("doc_id").isNull(), "doc_id", "row")).alias("keep"),
         )
         .where("group_size > 1")
-        .select(F.col("full_hash").alias("key"), "group_size", "keep")
+        .select(F.col("full_hash").alias("key"), "group_size", "keep"),
+        "exact-keys",
     )
     # rows without a full hash get a key of their own, so they do not meet in one task
     own = F.coalesce("full_hash", F.col("row").cast("string"))
