@@ -15,6 +15,7 @@ from fairwake.llm.exact_dedup import exact_groups
 from fairwake.llm.langid import identify
 from fairwake.llm.licenses import license_labels
 from fairwake.llm.quality import quality
+from fairwake.llm.secrets import secret_spans
 from fairwake.llm.sharding import shard_rows
 from fairwake.llm.simhash import near_groups
 
@@ -52,6 +53,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "format")), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_labels(documents(spark, sf_dir))
     places = F.transform("base", lambda b: b["place"].cast("long"))
@@ -74,7 +91,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_shards, op2_simhash, op5_language_id, op6_quality_rules, op9_license_scan, op10_exact_dedup)
+    for f in (
+        op1_shards,
+        op2_simhash,
+        op5_language_id,
+        op6_quality_rules,
+        op7_secret_scan,
+        op9_license_scan,
+        op10_exact_dedup,
+    )
 }
 
 STATEMENTS: dict[str, str] = {}
