@@ -10,10 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairwake.llm.common import documents
+from fairwake.llm.common import documents, tokenizer_path
 from fairwake.llm.exact_dedup import exact_groups
 from fairwake.llm.langid import identify
 from fairwake.llm.licenses import license_labels
+from fairwake.llm.packing import pack
 from fairwake.llm.quality import quality
 from fairwake.llm.secrets import secret_spans
 from fairwake.llm.sharding import shard_rows
@@ -69,6 +70,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_path(), with_ids=False)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_labels(documents(spark, sf_dir))
     places = F.transform("base", lambda b: b["place"].cast("long"))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
         op5_language_id,
         op6_quality_rules,
         op7_secret_scan,
+        op8_packing,
         op9_license_scan,
         op10_exact_dedup,
     )

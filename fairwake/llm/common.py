@@ -19,6 +19,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed vocabulary file is; every executor has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch of texts holds in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
