@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from fairwake.llm.common import documents, tokenizer_path
 from fairwake.llm.exact_dedup import exact_groups
+from fairwake.llm.html_text import extract_text
 from fairwake.llm.langid import identify
 from fairwake.llm.licenses import license_labels
 from fairwake.llm.packing import pack
+from fairwake.llm.pieces import decode, encode
 from fairwake.llm.quality import quality
 from fairwake.llm.secrets import secret_spans
 from fairwake.llm.sharding import shard_rows
@@ -36,6 +38,26 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per chunk: tokens, and what decoding them gives back."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    texts = decode(encode(documents(spark, sf_dir), model), model)
+    return texts.select(
+        "doc_id",
+        "chunk",
+        "chunks",
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return texts.select("page_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(documents(spark, sf_dir).select("doc_id", "text", "lang"))
     return found.select(
@@ -99,6 +121,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_shards,
         op2_simhash,
+        op3_sentencepiece,
+        op4_html_text,
         op5_language_id,
         op6_quality_rules,
         op7_secret_scan,
