@@ -21,6 +21,9 @@ from fairwake.llm.quality import quality
 from fairwake.llm.secrets import secret_spans
 from fairwake.llm.sharding import shard_rows
 from fairwake.llm.simhash import near_groups
+from fairwake.llm.statements import STATEMENTS
+
+__all__ = ["QUERIES", "STATEMENTS"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,5 +134,3 @@ QUERIES: dict[str, Query] = {
         op10_exact_dedup,
     )
 }
-
-STATEMENTS: dict[str, str] = {}

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairwake.llm.common import text_of
+from fairwake.llm.common import fresh, text_of
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
@@ -79,7 +79,7 @@ def _repeated_words() -> Column:
 
 
 def quality(docs: DataFrame, text_column: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All columns of `docs`, and one struct column `quality`.
+    """All columns of `docs`, and last one struct column, named quality if that name is free.
 
     The struct has n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, the ratios
     that the rules use, failed (names of broken rules), base_failed and kept.
@@ -114,14 +114,14 @@ def quality(docs: DataFrame, text_column: str = "text", rules: tuple[Rule, ...]
         .otherwise(F.array().cast("array<bigint>"))
         .alias("windows"),
     )
-    # texts without a repeated window, the most common case, are not sorted
-    placed = counted.withColumn(
-        "sorted_windows",
-        F.when(
-            F.size(F.array_distinct("windows")) < F.size("windows"),
-            F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("hash"), i.alias("place")))),
-        ).otherwise(F.array().cast("array<struct<hash:bigint,place:int>>")),
-    )
+    # Texts without a repeated window, the most common case, are not sorted. The array goes
+    # through a generator because a filter on the result would otherwise be pushed below
+    # this projection and sort anew for every element that it looks at.
+    ordered = F.when(
+        F.size(F.array_distinct("windows")) < F.size("windows"),
+        F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("hash"), i.alias("place")))),
+    ).otherwise(F.array().cast("array<struct<hash:bigint,place:int>>"))
+    placed = counted.select("*", F.explode(F.array(ordered)).alias("sorted_windows"))
     measured = placed.select(
         "row",
         "n_words",
@@ -146,4 +146,4 @@ def quality(docs: DataFrame, text_column: str = "text", rules: tuple[Rule, ...]
     judged = measured.withColumns({"failed": compiled(rules), "base_failed": base})
     fields = [c for c in judged.columns if c != "row"]
     kept = ~F.col("base_failed") & (F.size("failed") == 0)
-    return judged.select("row.*", F.struct(*fields, kept.alias("kept")).alias("quality"))
+    return judged.select("row.*", F.struct(*fields, kept.alias("kept")).alias(fresh(docs, "quality")))
