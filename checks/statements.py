@@ -8,7 +8,7 @@ from checks.sql import (
     speed_bin, text,
 )
 
-from fairwake.plans.catalog import SPARSE_INTEGERS
+from fairwake.plans.catalog import MIDDLE, SPARSE_INTEGERS
 
 FINALS: dict[str, str] = {}
 
@@ -19,6 +19,7 @@ _AIS = f"SELECT {_MESSAGE}, region FROM ais"
 FINALS["ais_ingest"] = _AIS
 FINALS["ais_ingest_legacy"] = f"SELECT {_MESSAGE} FROM ais_small"
 FINALS["incremental_append"] = _AIS
+FINALS["create_if_absent"] = FINALS["load_after_failure"] = _AIS
 FINALS["vessel_registry"] = """SELECT mmsi, name_of_ship, shiptype, gt, technical_manager, operator,
   operator_code, start_date, end_date FROM reg"""
 
@@ -375,3 +376,15 @@ def _shown(name: str) -> str:
 
 
 STATEMENTS = {name: query(_shown(name)) for name in FINALS}
+
+
+def _each_load(statement: str) -> str:
+    """The statement over each half of the messages, one below the other."""
+    halves = [
+        statement.replace("FROM events", f"FROM (SELECT * FROM events WHERE ts {side} TIMESTAMP '{MIDDLE:%Y-%m-%d %H:%M:%S}')")
+        for side in ("<", ">=")
+    ]
+    return " UNION ALL ".join(f"SELECT * FROM ({half})" for half in halves)
+
+
+STATEMENTS["vsr_runs_two_loads"] = _each_load(STATEMENTS["vsr_runs_join"])

@@ -31,6 +31,8 @@ SPARSE_INTEGERS = {
     "ais_ingest": ["mmsi"],
     "ais_ingest_legacy": ["mmsi"],
     "incremental_append": ["mmsi"],
+    "create_if_absent": ["mmsi"],
+    "load_after_failure": ["mmsi"],
     "safe_cast": ["mmsi"],
     "format_messages": ["mmsi"],
     "left_join_registry": ["mmsi", "gt"],
@@ -48,6 +50,7 @@ SPARSE_INTEGERS = {
     "run_simplify": ["seg_id"],
     "runs_legacy": ["seg_id", "speed_bin_num"],
     "vsr_runs_join": ["seg_id", "speed_bin_num"],
+    "vsr_runs_two_loads": ["seg_id", "speed_bin_num"],
 }
 
 Query = Callable[["Chain"], DataFrame]
@@ -262,7 +265,36 @@ def scorecard_overwrite(c: Chain) -> DataFrame:
     cluster = update.CLUSTERS["ship_stats_daily"]
     tables.rebuild(c.daily.where(F.col("date") < F.lit(MIDDLE.date())), path, cluster)
     tables.rebuild(c.daily, path, cluster)
-    return c.spark.read.schema(c.daily.schema).parquet(path)
+    return tables.scan_rebuilt(c.spark, path, c.daily.schema)
+
+
+@query
+def create_if_absent(c: Chain) -> DataFrame:
+    """The second attempt to create the table leaves it as it is."""
+    path = c.scratch("created")
+    tables.create_once(c.messages, path)
+    tables.create_once(c.messages.where("false"), path)
+    return c.spark.read.schema(schemas.MESSAGES).parquet(path)
+
+
+@query
+def load_after_failure(c: Chain) -> DataFrame:
+    """A load dies after it wrote its last days; the next one starts it over."""
+    folder, table = c.scratch("lost-load"), incremental.MESSAGES
+    path, lost = f"{folder}/{table.name}", tables.load_id(EVER)
+    late = c.messages.where(F.to_date("timestamp") >= F.lit(MIDDLE.date()))
+    tables.append_load(late, path, lost, table.schema, day=table.day(), cluster=table.cluster)
+    tables.unmark(c.spark, f"{path}/{tables.LOAD}={lost}")
+    incremental.load(
+        c.spark,
+        folder,
+        table,
+        lambda since: ingest.ingest(c.source, since),
+        today=AS_OF[0],
+        default_since=EVER,
+        log=f"{folder}/{update.LOAD_LOG}",
+    )
+    return tables.scan_table(c.spark, path, table.schema, EVER.date())
 
 
 @query
@@ -684,6 +716,23 @@ def vsr_runs_join(c: Chain) -> DataFrame:
     )
 
 
+@query
+def vsr_runs_two_loads(c: Chain) -> DataFrame:
+    """Runs of two loads that meet at noon, so both number their runs of that day from 0."""
+    noon = F.lit(MIDDLE).cast("timestamp")
+    halves = [c.source.where(F.col("timestamp") < noon), c.source.where(F.col("timestamp") >= noon)]
+    loads = [
+        runs.build_runs_legacy(
+            ingest.ingest(half, EVER, area.AREA_LEGACY, label_region=False), c.vessels, EVER
+        )
+        for half in halves
+    ]
+    found = zones.clip_runs_to_zones(tables.union(loads), c.zones, EVER)
+    return found.withColumn(
+        "inside_nm", numeric.rounded(geo.length_m("vsr_geom") * speed.M_TO_NM, 4)
+    )
+
+
 @query
 def chain_legacy(c: Chain) -> DataFrame:
     simple = segments.build_segments_simple(c.messages_legacy, c.registry)

@@ -97,7 +97,7 @@ def update_scorecards(
     def rebuild(name: str, scorecard: DataFrame) -> DataFrame:
         path = f"{folder}/{name}"
         tables.rebuild(scorecard, path, CLUSTERS[name])
-        stored = spark.read.schema(scorecard.schema).parquet(path)
+        stored = tables.scan_rebuilt(spark, path, scorecard.schema)
         tables.append_rows(incremental.stats_entry(stored, name), f"{folder}/{STATS_LOG}")
         return stored
 

@@ -71,7 +71,8 @@ def clip_to_zones_legacy(
 
 
 SEASON = ["datetime_beg", "datetime_end"]
-RUN_KEY = ["mmsi", "date", "seg_id", "speed_bin_num"]
+# Run numbers restart with each load, so the times are part of what tells runs apart.
+RUN_KEY = ["mmsi", "date", "seg_id", "speed_bin_num", "timestamp_beg", "timestamp_end"]
 
 
 def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) -> DataFrame:
@@ -79,7 +80,7 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
 
     Each run's geometry is taken apart into its two-point lines, which find their zones
     as segments do; the parts found are put together again per run and zone, and only
-    then is the run's own row joined to them.
+    then is the run's own row joined to them. Rows that repeat a run each get its parts.
     """
     in_season = "timestamp_end <= datetime_end and timestamp_beg >= datetime_beg"
     bounded = (
@@ -88,15 +89,8 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
         .drop("_last_end")
     )
     lines = (
-        bounded.select(
-            *RUN_KEY, "timestamp_beg", "timestamp_end", F.posexplode("geom").alias("_path", "_points")
-        )
-        .select(
-            *RUN_KEY,
-            "timestamp_beg",
-            "timestamp_end",
-            "_path",
-            F.posexplode(_two_point_lines("_points")).alias("_hop", "line"),
+        bounded.select(*RUN_KEY, F.posexplode("geom").alias("_path", "_points")).select(
+            *RUN_KEY, "_path", F.posexplode(_two_point_lines("_points")).alias("_hop", "line")
         )
     )
     # Equal zones are counted and their rows repeated at the end.
@@ -113,7 +107,7 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
         F.expr(geo.second("_part")).alias("end"),
     )
     hops = parts.groupBy(*RUN_KEY, *zone_row).agg(
-        F.collect_list(F.when(F.col("_part").isNotNull(), hop)).alias("_hops")
+        F.collect_set(F.when(F.col("_part").isNotNull(), hop)).alias("_hops")
     )
     found = geo.with_chained(hops, "_hops", "vsr_geom").select(
         *[F.col(c).alias(f"_{c}") for c in RUN_KEY],

@@ -1,9 +1,13 @@
 """Parquet tables: day-partitioned loads, guarded scans, full rebuilds.
 
-A loaded table is a directory of loads, `load=<id>/date=<day>/`. A load's id is the
-watermark it started from, so repeating a load that was lost half-way replaces its own
-files and nothing else. Scans prune by day; those of loaded tables must name the first
-day they want.
+A loaded table is a directory of loads, `load=<id>/date=<day>/`. A load counts from the
+moment its folder has the marker `_SUCCESS`, which is written last. Scans, and so
+watermarks, see complete loads only. A load's id is the watermark it started from, so after
+a load that died half-way the next one has the same id and replaces its files.
+
+Scans prune by day; those of loaded tables must name the first day they want. A rebuilt
+table is written beside the one before, as a new version; readers take the newest complete
+version.
 """
 
 from __future__ import annotations
@@ -13,14 +17,15 @@ import os
 import tempfile
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fairwake.schemas import conform
 
-LOAD, DAY = "load", "date"
+LOAD, DAY, VERSION = "load", "date", "version"
+COMPLETE = "_SUCCESS"
+VERSIONS_KEPT = 2  # of a rebuilt table: the new one, and the one that readers may still use
 EVERY_DAY = dt.date(1900, 1, 1)
 
 
@@ -56,16 +61,43 @@ def scan_since(df: DataFrame, day: str, since: dt.datetime | dt.date) -> DataFra
 def scan_table(
     spark: SparkSession, path: str, schema: T.StructType, first_day: dt.date
 ) -> DataFrame:
-    """Rows of a loaded table from `first_day` on; empty if it was never loaded."""
-    try:
-        stored = spark.read.schema(_stored(schema)).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Rows of a table's complete loads from `first_day` on; empty if there is none."""
+    loads = complete(spark, path, LOAD)
+    if not loads:
         return spark.createDataFrame([], schema)
+    stored = spark.read.schema(_stored(schema)).option("basePath", path).parquet(*loads)
     return conform(stored.where(F.col(DAY) >= F.lit(first_day)), schema)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path and the class of its paths."""
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    return path_class(path).getFileSystem(spark._jsc.hadoopConfiguration()), path_class
+
+
+def complete(spark: SparkSession, path: str, kind: str) -> list[str]:
+    """Folders `<kind>=...` below a path that carry the marker, in the order of their names."""
+    files, path_class = _files(spark, path)
+    found = files.globStatus(path_class(f"{path}/{kind}=*/{COMPLETE}"))
+    return sorted(status.getPath().getParent().toString() for status in found or [])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, path_class = _files(spark, path)
+    return files.exists(path_class(path))
+
+
+def mark_complete(spark: SparkSession, folder: str) -> None:
+    """Write the marker; Spark's own writers do so too, unless they are told not to."""
+    files, path_class = _files(spark, folder)
+    files.createNewFile(path_class(f"{folder}/{COMPLETE}"))
+
+
+def unmark(spark: SparkSession, folder: str) -> None:
+    files, path_class = _files(spark, folder)
+    files.delete(path_class(f"{folder}/{COMPLETE}"), False)
+
+
 def append_load(
     df: DataFrame, path: str, load_id: str, schema: T.StructType, *, day: Column, cluster: list[str]
 ) -> None:
@@ -75,19 +107,37 @@ def append_load(
     advisory partition size over several tasks, whichever vessels it consists of, and
     puts small days together.
     """
+    spark, folder = df.sparkSession, f"{path}/{LOAD}={load_id}"
+    unmark(spark, folder)  # while it is replaced, it does not count
     rows = conform(df, schema).withColumn(DAY, day)
     (
         rows.hint("rebalance", DAY)
         .sortWithinPartitions(DAY, *cluster)
         .write.mode("overwrite")
         .partitionBy(DAY)
-        .parquet(f"{path}/{LOAD}={load_id}")
+        .parquet(folder)
     )
+    mark_complete(spark, folder)
 
 
 def rebuild(df: DataFrame, path: str, cluster: list[str]) -> None:
-    """Replace a table as a whole, sorted within files by the cluster columns."""
-    df.sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
+    """Write a table anew, sorted within files by the cluster columns, as its next version."""
+    spark = df.sparkSession
+    stamp = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{os.urandom(4).hex()}"
+    folder = f"{path}/{VERSION}={stamp}"
+    df.sortWithinPartitions(*cluster).write.parquet(folder)
+    mark_complete(spark, folder)
+    files, path_class = _files(spark, path)
+    for old in complete(spark, path, VERSION)[:-VERSIONS_KEPT]:
+        files.delete(path_class(old), True)
+
+
+def scan_rebuilt(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version of a rebuilt table; empty if there is none."""
+    versions = complete(spark, path, VERSION)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(versions[-1])
 
 
 def create_once(df: DataFrame, path: str) -> None:

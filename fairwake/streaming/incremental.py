@@ -1,8 +1,9 @@
 """High-watermark loads: each run takes what is newer than the table and appends it.
 
 The order within a run is: read the watermark, log it, write the load, log the new
-newest timestamp. Data goes before the closing log row, and a load that is repeated
-replaces its own files, so a run that died half-way is simply run again.
+newest timestamp. A watermark is taken from complete loads only (see `sources.tables`), so
+a run that died half-way is simply run again: it starts from the same watermark, has the
+same load id and replaces what the lost one left.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from fairwake import schemas
 from fairwake.sources import tables
 
 # How far back each table is searched for its newest row, from today and
-# from the watermark of the load before. Rows older than that count as absent.
+# from the watermark of the load before.
 DAYS_28 = relativedelta(days=28)
 DAYS_30 = relativedelta(days=30)
 MONTHS_8 = relativedelta(months=8)
@@ -82,22 +83,34 @@ def newest_or(rows: DataFrame, column: str, default: dt.datetime) -> DataFrame:
 
 
 def watermark(
-    spark: SparkSession, path: str, table: Loaded, today: dt.date, default: dt.datetime
+    spark: SparkSession,
+    path: str,
+    table: Loaded,
+    today: dt.date,
+    default: dt.datetime,
+    log: str | None = None,
 ) -> dt.datetime:
-    """Newest timestamp of a table.
+    """Newest timestamp of a table's complete loads; the default if it has none.
 
-    The look-back keeps the search to recent day directories. Only where they hold
-    nothing, as between two seasons, is the whole table searched, and only an empty
-    table gets the default: starting over would load rows twice.
+    It is looked for among the days of the look-back. Where they hold nothing, as between
+    two seasons, the load log knows it; only without a log the whole table is searched.
     """
-    for first_day in (today - table.look_back + dt.timedelta(days=1), tables.EVERY_DAY):
-        rows = tables.scan_table(spark, path, table.schema, first_day)
+    first_day = today - table.look_back + dt.timedelta(days=1)
+    searched = [lambda: newest(tables.scan_table(spark, path, table.schema, first_day), table.newest)]
+    if log is not None and tables.exists(spark, log):
+        closed = spark.read.schema(schemas.LOAD_LOG).parquet(log).where(
+            (F.col("table_name") == table.name) & (F.col("query_exec") == "query_end")
+        )
+        searched.append(lambda: newest(closed, "newest_timestamp"))
+    else:
+        searched.append(
+            lambda: newest(tables.scan_table(spark, path, table.schema, tables.EVERY_DAY), table.newest)
+        )
+    for search in searched:
         # Read as microseconds: a timestamp would come back in the driver's time zone.
-        micros = newest(rows, table.newest).select(F.unix_micros("newest_timestamp")).first()[0]
+        micros = search().select(F.unix_micros("newest_timestamp")).first()[0]
         if micros is not None:
-            return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(
-                microseconds=micros
-            )
+            return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
     return default
 
 
@@ -113,7 +126,7 @@ def load(
 ) -> dt.datetime:
     """Append what `build` returns for the table's watermark; returns that watermark."""
     path = f"{folder}/{table.name}"
-    since = watermark(spark, path, table, today, default_since)
+    since = watermark(spark, path, table, today, default_since, log)
     if log is not None:
         write_log(spark.range(1).select(F.lit(since).alias("newest_timestamp")), log, table.name, "query_start")
     tables.append_load(

@@ -50,7 +50,7 @@ def test_tables_equal_the_stages_in_one_go(spark, chain, updated):
     assert rows(stored(spark, updated, incremental.MESSAGES)) == rows(chain.messages)
     assert rows(stored(spark, updated, incremental.SEGMENTS)) == rows(chain.segments)
     assert rows(stored(spark, updated, incremental.ZONE_SEGMENTS)) == rows(chain.zone_segments)
-    daily = spark.read.parquet(f"{updated}/ship_stats_daily")
+    daily = tables.scan_rebuilt(spark, f"{updated}/ship_stats_daily", chain.daily.schema)
     assert rows(daily.select(chain.daily.columns)) == rows(chain.daily)
 
 
@@ -93,6 +93,44 @@ def test_repeating_a_load_replaces_its_files(spark, chain):
     assert rows(stored(spark, folder, table)) == rows(chain.messages)
 
 
+@pytest.mark.parametrize(
+    "table", [incremental.MESSAGES, incremental.SEGMENTS, incremental.RUNS, incremental.ZONE_SEGMENTS], ids=lambda t: t.name
+)
+def test_a_load_that_died_is_started_over(spark, updated, table):
+    """Only its last days were in place, without the marker: the next load loses nothing."""
+    everything = stored(spark, updated, table)
+    folder, start = tables.new_folder(spark, "test-lost"), EVER
+    path = f"{folder}/{table.name}"
+    tables.append_load(
+        everything.where(table.day() >= F.lit(dt.date(2024, 1, 20))), path, tables.load_id(start),
+        table.schema, day=table.day(), cluster=table.cluster,
+    )
+    tables.unmark(spark, f"{path}/{tables.LOAD}={tables.load_id(start)}")
+    assert stored(spark, folder, table).count() == 0
+    since = incremental.load(
+        spark, folder, table, lambda since: everything, today=AS_OF[0], default_since=start, log=f"{folder}/log"
+    )
+    assert since == start and rows(stored(spark, folder, table)) == rows(everything)
+
+
+def test_the_log_knows_the_watermark_of_old_tables(spark, updated):
+    long_after = dt.date(2030, 1, 1)
+    path, log = f"{updated}/ais_data", f"{updated}/load_log"
+    with_log = incremental.watermark(spark, path, incremental.MESSAGES, long_after, EVER, log)
+    assert with_log == incremental.watermark(spark, path, incremental.MESSAGES, long_after, EVER)
+
+
+def test_a_rebuild_that_died_leaves_the_version_before(spark):
+    path = tables.new_folder(spark, "test-versions")
+    schema = spark.range(1).schema
+    assert tables.scan_rebuilt(spark, path, schema).count() == 0
+    for n in (3, 4, 5):
+        tables.rebuild(spark.range(n), path, ["id"])
+    assert len(tables.complete(spark, path, tables.VERSION)) == tables.VERSIONS_KEPT
+    tables.unmark(spark, tables.complete(spark, path, tables.VERSION)[-1])
+    assert tables.scan_rebuilt(spark, path, schema).count() == 4
+
+
 def test_scans_prune_days(spark, chain, updated):
     recent = tables.scan_table(
         spark, f"{updated}/ais_data", schemas.MESSAGES, dt.date(2024, 1, 20)
