@@ -721,12 +721,7 @@ def vsr_runs_two_loads(c: Chain) -> DataFrame:
     """Runs of two loads that meet at noon, so both number their runs of that day from 0."""
     noon = F.lit(MIDDLE).cast("timestamp")
     halves = [c.source.where(F.col("timestamp") < noon), c.source.where(F.col("timestamp") >= noon)]
-    loads = [
-        runs.build_runs_legacy(
-            ingest.ingest(half, EVER, area.AREA_LEGACY, label_region=False), c.vessels, EVER
-        )
-        for half in halves
-    ]
+    loads = [runs.build_runs_legacy(ingest.ingest(half, EVER), c.vessels, EVER) for half in halves]
     found = zones.clip_runs_to_zones(tables.union(loads), c.zones, EVER)
     return found.withColumn(
         "inside_nm", numeric.rounded(geo.length_m("vsr_geom") * speed.M_TO_NM, 4)

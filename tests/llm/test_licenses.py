@@ -26,7 +26,7 @@ CASES = {
     3: MIT,
     4: MIT.replace("free of charge", "for a fee"),
     5: "Licensed under the Apache License, Version 2.0. GNU General Public License",
-    6: "Redistribution and use in source and binary forms, with or without modification, are permitted provided that",
+    6: "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     7: "redistribution of source forms in binary modification, without conditions permitted",
     8: "",
     9: None,
