@@ -37,6 +37,25 @@ def normalised(text: str | Column) -> Column:
     return body
 
 
+def slot_of(body: str, prefix: int = PREFIX, slots: int = SLOTS) -> Column:
+    """The number that the length and the prefix hash of a compared text fold into."""
+    head = F.xxhash64(F.left(body, F.lit(prefix)))
+    return F.pmod(F.xxhash64(F.octet_length(body), head), F.lit(slots)).cast("int")
+
+
+def repeated_slots(
+    docs: DataFrame, text_column: str = "text", prefix: int = PREFIX, slots: int = SLOTS
+) -> DataFrame:
+    """The slots (`slots` rows at most) of lengths and prefix hashes that several texts have."""
+    body = docs.select(normalised(text_column).alias("body"))
+    heads = body.select(
+        F.octet_length("body").alias("size"),
+        F.xxhash64(F.left("body", F.lit(prefix))).alias("head"),
+        slot_of("body", prefix, slots).alias("slot"),
+    )
+    return heads.groupBy("size", "head", "slot").count().where("count > 1").select("slot").distinct()
+
+
 def exact_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -44,37 +63,26 @@ def exact_groups(
     prefix: int = PREFIX,
     slots: int = SLOTS,
     hash_all: bool = False,
+    again: DataFrame | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, full_hash.
 
     The longest original text stays, then the smallest id. full_hash is the SHA-256 of the
     compared text; it is NULL for texts that were settled before it was needed, unless
-    `hash_all` asks for all of them.
+    `hash_all` asks for all of them. `again` takes `repeated_slots` of the same rows where
+    the caller has them already.
     """
     shaped = docs.select(
         F.col(id_column).alias("doc_id"),
         F.char_length(text_of(text_column)).alias("points"),
         normalised(text_column).alias("body"),
-    ).select(
-        "doc_id",
-        "points",
-        "body",
-        F.octet_length("body").alias("size"),
-        F.xxhash64(F.left("body", F.lit(prefix))).alias("head"),
-    )
-    slot = F.pmod(F.xxhash64("size", "head"), F.lit(slots)).cast("int")
-    again = (
-        shaped.groupBy("size", "head")
-        .count()
-        .where("count > 1")
-        .select(slot.alias("slot"))
-        .distinct()
-        .withColumn("again", F.lit(True))
-    )
+    ).withColumn("slot", slot_of("body", prefix, slots))
+    if again is None:
+        again = repeated_slots(docs, text_column, prefix, slots)
+    again = again.withColumn("again", F.lit(True))
     hit = F.col("again").isNotNull()
     narrow = written(
-        shaped.withColumn("slot", slot)
-        .join(F.broadcast(again), "slot", "left")
+        shaped.join(F.broadcast(again), "slot", "left")
         .select(
             "doc_id",
             "points",
@@ -112,21 +120,34 @@ def exact_groups(
 
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
-    decided = written(exact_groups(docs, id_column, text_column).where("group_size > 1"), "exact-groups")
-    keeps = decided.where("kept").select("full_hash", "keep_id")
-    repeated = decided.where("doc_id <=> keep_id AND NOT kept").select("full_hash").distinct()
-
-    key = fresh(docs, "full_hash")
-    kept = docs.withColumn(key, F.sha2(normalised(text_column), 256)).join(
-        keeps.toDF("keep_key", "keep_value"), F.col(key) == F.col("keep_key"), "left"
+    """The rows of `docs` that stay, with all their columns.
+
+    Texts whose slot no other text has pass straight through. Only the others are hashed
+    again and shuffled to meet the row of their group that stays; that join is a merge join
+    at every size, as the list of groups grows with the rows.
+    """
+    again = written(repeated_slots(docs, text_column), "exact-slots")
+    decided = written(exact_groups(docs, id_column, text_column, again=again).where("group_size > 1"), "exact-groups")
+    # how many rows have the id that stays: above 1, the id is repeated with the same text
+    keeps = decided.groupBy("full_hash").agg(
+        F.first("keep_id").alias("keep_id"), F.count_if(F.expr("doc_id <=> keep_id")).alias("same")
     )
+
+    slot, key = fresh(docs, "exact_slot"), fresh(docs, "full_hash")
     names = [docs[c] for c in docs.columns]
-    kept = kept.where(F.col("keep_key").isNull() | docs[id_column].eqNullSafe(F.col("keep_value")))
-    kept = kept.select(*names, F.col(key))
-    if not repeated.isEmpty():  # rows with the same id and text: one of them
-        match = F.col(key) == F.col("repeat_key")
-        repeated = repeated.toDF("repeat_key")
-        once = kept.join(repeated, match, "left_semi").dropDuplicates([key])
-        kept = kept.join(repeated, match, "left_anti").unionByName(once)
-    return kept.drop(key)
+    placed = docs.withColumn(slot, slot_of(normalised(text_column)))
+    match = F.col(slot) == F.col("again_slot")
+    again = F.broadcast(again.toDF("again_slot"))
+    single = placed.join(again, match, "left_anti").select(*names)
+
+    hits = placed.join(again, match, "left_semi").withColumn(key, F.sha2(normalised(text_column), 256))
+    keeps = keeps.toDF("keep_key", "keep_value", "keep_same").hint("merge")
+    stay = hits.join(keeps, F.col(key) == F.col("keep_key"), "left").where(
+        F.col("keep_key").isNull() | docs[id_column].eqNullSafe(F.col("keep_value"))
+    )
+    out = single.unionByName(stay.where("keep_same IS NULL OR keep_same = 1").select(*names))
+    if not decided.where("doc_id <=> keep_id AND NOT kept").isEmpty():  # same id and text: the longest stays
+        length = F.char_length(text_of(docs[text_column]))
+        repeats = stay.where("keep_same > 1").select(F.col(key).alias("one"), length.alias("n"), F.struct(*names).alias("r"))
+        out = out.unionByName(repeats.groupBy("one").agg(F.max_by("r", "n").alias("r")).select("r.*"))
+    return out

@@ -75,3 +75,9 @@ def test_same_as_sql(spark, duck):
     found = duck.execute(STATEMENTS["op10_exact_dedup"])
     names = [d[0] for d in found.description]
     assert sorted(map(str, map(tuple, got.select(*names).collect()))) == sorted(map(str, found.fetchall()))
+
+
+def test_of_a_repeated_id_the_longest_row_stays(spark):
+    rows = [(4, "a b", "x"), (4, "a  b", "y"), (4, "ab", "z"), (6, "c", "x"), (None, "d", None), (None, "d", None)]
+    kept = without_copies(spark.createDataFrame(rows, "doc_id int, text string, source string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(4, "a  b", "y"), (6, "c", "x"), (None, "d", None)], key=str)
