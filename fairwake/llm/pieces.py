@@ -227,6 +227,7 @@ def encode(
     """
     small_batches(docs.sparkSession)
     chunk = max(chunk, 64)
+    giant = max(giant, chunk)  # shorter texts would have no chunk
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = model_of(path)
