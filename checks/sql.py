@@ -96,11 +96,46 @@ def fraction() -> str:
 
 
 def _edges(polygons: dict[str, list[tuple[float, float]]]) -> str:
+    """Polygon edges along great circles, in pieces of at most a tenth of a degree.
+
+    From a corner, each edge turns by equal angles towards its other corner, within the
+    plane of the two: a cos(turn) + d sin(turn), where d is square to a.
+    """
     rows = []
     for name, ring in polygons.items():
-        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
-            rows.append(f"('{name}', {x1}E0, {y1}E0, {x2}E0, {y2}E0)")
-    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(polygon, x1, y1, x2, y2)"
+        for i, ((x1, y1), (x2, y2)) in enumerate(zip(ring, ring[1:] + ring[:1])):
+            rows.append(f"('{name}', {i}, {x1}E0, {y1}E0, {x2}E0, {y2}E0)")
+    unit = ", ".join(
+        f"cos(radians(y{i})) * cos(radians(x{i})) AS u{i}, "
+        f"cos(radians(y{i})) * sin(radians(x{i})) AS v{i}, sin(radians(y{i})) AS w{i}"
+        for i in (1, 2)
+    )
+    turned = {
+        c: f"({c}1 * cos(turn) + ({c}2 - {c}1 * cos(arc)) / sin(arc) * sin(turn))"
+        for c in "uvw"
+    }
+    lon = f"degrees(atan2({turned['v']}, {turned['u']}))"
+    lat = f"degrees(asin({turned['w']}))"
+    return f"""
+  SELECT polygon, x AS x1, y AS y1, next_x AS x2, next_y AS y2
+  FROM (
+    SELECT *, lead(x) OVER w AS next_x, lead(y) OVER w AS next_y
+    FROM (
+      SELECT polygon, edge, k,
+        CASE k WHEN 0 THEN x1 WHEN n THEN x2 ELSE round({lon}, 9) END AS x,
+        CASE k WHEN 0 THEN y1 WHEN n THEN y2 ELSE round({lat}, 9) END AS y
+      FROM (
+        SELECT *, arc * k / n AS turn
+        FROM (
+          SELECT *, unnest(range(n + 1)) AS k
+          FROM (
+            SELECT *, CAST(ceil(degrees(arc) / 0.1E0 + 1E-9) AS BIGINT) AS n
+            FROM (
+              SELECT *, acos(u1 * u2 + v1 * v2 + w1 * w2) AS arc
+              FROM (SELECT *, {unit}
+                FROM (VALUES {', '.join(rows)}) AS t(polygon, edge, x1, y1, x2, y2)))))))
+    WINDOW w AS (PARTITION BY polygon, edge ORDER BY k))
+  WHERE next_x IS NOT NULL"""
 
 
 _ZONE_RINGS = {f"z{i}": zone[2] for i, zone in enumerate(samples.ZONES, 1)}

@@ -84,13 +84,18 @@ def with_changes(
 ) -> DataFrame:
     """Mark rows whose label differs from the next row's, and count the marks so far.
 
+    The other columns decide between rows that are equal in `order`. With that, the table
+    of slice borders reads the same columns as the rows do, so both share one shuffle;
+    callers should drop columns that they do not need beforehand.
+
     `changed` is 1 where the next row has another label, 0 where it has the same one
     and NULL where there is no next row or a label is unknown. `changes` is the sum of
     the marks up to and including the row, NULL until there is one; rows that are equal
     in the `peers` columns (the first ones of `order`, time among them) all get the sum
     that includes every one of them. `rows` comes from `sliced`.
     """
-    in_slice = Window.partitionBy(key, SLICE).orderBy(*order)
+    others = [c for c in rows.columns if c not in (key, SLICE, *order)]
+    in_slice = Window.partitionBy(key, SLICE).orderBy(*order, *others)
     whole_slice = Window.partitionBy(key, SLICE)
     placed = (
         rows.withColumn("_position", F.row_number().over(in_slice))

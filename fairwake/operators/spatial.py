@@ -43,7 +43,11 @@ def polygon_edges(rings: str) -> str:
 
 
 def geodesic_edges(edges: str, max_degrees: float = 0.1) -> str:
-    """Split each edge along its great circle so that no piece is longer than given."""
+    """Split each edge along its great circle so that no piece is longer than given.
+
+    New vertices are rounded to nine digits, a tenth of a millimetre, so that they do not
+    depend on the last bits of the platform's trigonometry.
+    """
 
     def vertex(k: str) -> str:
         def mixed(term: str) -> str:
@@ -55,12 +59,13 @@ def geodesic_edges(edges: str, max_degrees: float = 0.1) -> str:
         y = mixed("cos(radians({0}.lat)) * sin(radians({0}.lon))")
         z = mixed("sin(radians({0}.lat))")
         between = geo.point(
-            f"degrees(atan2({y}, {x}))", f"degrees(atan2({z}, sqrt({x} * {x} + {y} * {y})))"
+            f"round(degrees(atan2({y}, {x})), 9)",
+            f"round(degrees(atan2({z}, sqrt({x} * {x} + {y} * {y}))), 9)",
         )
         return f"case {k} when 0 then e.a when e.n then e.b else {between} end"
 
     arc = geo.haversine_m("e.a", "e.b", radius=1.0)
-    n = f"int(greatest(1, ceil(degrees({arc}) / {max_degrees}D)))"
+    n = f"int(greatest(1, ceil(degrees({arc}) / {max_degrees}D + 1E-9D)))"
     measured = f"transform({edges}, e -> named_struct('a', e.a, 'b', e.b, 'arc', {arc}, 'n', {n}))"
     pieces = (
         "transform(sequence(0, e.n - 1),"

@@ -25,6 +25,18 @@ from fairwake.schemas import RUNS, RUNS_LEGACY, conform
 RUN_KEYS = ["mmsi", "date", "seg_id", "final_speed_bin_num", "touches_coast", "region"]
 # Numbers start anew with each load, so the end time decides between loads.
 SEGMENT_ORDER = ["timestamp", "num", "timestamp_end"]
+# What runs need of a segment, apart from its line.
+SEGMENT_COLUMNS = [
+    *[c for c in RUN_KEYS if c != "seg_id"],
+    *SEGMENT_ORDER,
+    "timestamp_beg",
+    "speed_knots",
+    "implied_speed_knots",
+    "calculated_knots",
+    "final_speed_knots",
+    "distance_nm",
+    "segment_time_minutes",
+]
 RUN_KEYS_LEGACY = ["seg_id", "mmsi", "date", "speed_bin_num"]
 
 # Fixed values of the earlier form: longest time span with a geometry, and the
@@ -89,7 +101,8 @@ def speed_runs(
     segments: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
 ) -> DataFrame:
     """Runs without geometry."""
-    runs = numbered_runs(off_coast(newer(segments, since)), slice_hours=slice_hours)
+    fresh = off_coast(newer(segments, since)).select(*SEGMENT_COLUMNS)
+    runs = numbered_runs(fresh, slice_hours=slice_hours)
     return _aggregated(runs, run_measures())
 
 
@@ -97,7 +110,8 @@ def run_geometries(
     segments: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
 ) -> DataFrame:
     """Runs with `paths`, their geometry as it comes, and `npts`, its number of points."""
-    runs = numbered_runs(off_coast(newer(segments, since)), slice_hours=slice_hours)
+    fresh = off_coast(newer(segments, since)).select(*SEGMENT_COLUMNS, "linestring")
+    runs = numbered_runs(fresh, slice_hours=slice_hours)
     collected = _aggregated(runs, run_measures() | {"hops": run_lines("linestring")})
     chained = geo.with_chained(collected, "hops", "paths")
     return chained.withColumn("npts", geo.point_count("paths"))

@@ -97,7 +97,7 @@ def build_segments(
     since: dt.datetime,
     *,
     slice_hours: int = SLICE_HOURS,
-    geodesic: bool = False,
+    geodesic: bool = True,
 ) -> DataFrame:
     """Segments of large ships with distance, speeds, speed classes and coast contact.
 

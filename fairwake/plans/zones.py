@@ -19,14 +19,14 @@ from fairwake.plans.segments import newer
 from fairwake.schemas import MULTILINE
 
 
-def zone_index(zones: DataFrame, *, geodesic: bool = False) -> DataFrame:
+def zone_index(zones: DataFrame, *, geodesic: bool = True) -> DataFrame:
     named = zones.withColumnRenamed("region", "vsr_region")
     attributes = [c for c in named.columns if c != "geog"]
     return polygon_index(named, "geog", attributes, geodesic=geodesic)
 
 
 def segments_in_zones(
-    segments: DataFrame, zones: DataFrame, *, geodesic: bool = False
+    segments: DataFrame, zones: DataFrame, *, geodesic: bool = True
 ) -> DataFrame:
     """One row per segment and zone it meets while its start lies in the season.
 
@@ -45,7 +45,7 @@ def segments_in_zones(
 
 
 def clip_to_zones(
-    segments: DataFrame, zones: DataFrame, since: dt.datetime | None, *, geodesic: bool = False
+    segments: DataFrame, zones: DataFrame, since: dt.datetime | None, *, geodesic: bool = True
 ) -> DataFrame:
     """Segments after the watermark within zones: the segment columns, then the zone's."""
     fresh = segments if since is None else newer(segments, since)
@@ -60,13 +60,13 @@ def last_season_end(zones: DataFrame, as_date: bool = False) -> DataFrame:
 
 
 def clip_to_zones_legacy(
-    segments: DataFrame, zones: DataFrame, since: dt.datetime
+    segments: DataFrame, zones: DataFrame, since: dt.datetime, *, geodesic: bool = True
 ) -> DataFrame:
     """Earlier form: also bounded by the end of the latest season, and without region."""
     bounded = newer(segments, since).join(
         F.broadcast(last_season_end(zones)), F.col("timestamp") <= F.col("_last_end")
     )
-    found = segments_in_zones(bounded.drop("_last_end"), zones)
+    found = segments_in_zones(bounded.drop("_last_end"), zones, geodesic=geodesic)
     return found.select(*segments.columns, "vsr_category", "vsr_linestring")
 
 
@@ -75,7 +75,9 @@ SEASON = ["datetime_beg", "datetime_end"]
 RUN_KEY = ["mmsi", "date", "seg_id", "speed_bin_num", "timestamp_beg", "timestamp_end"]
 
 
-def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) -> DataFrame:
+def clip_runs_to_zones(
+    runs: DataFrame, zones: DataFrame, since: dt.datetime, *, geodesic: bool = True
+) -> DataFrame:
     """Runs that lie in a zone's season as a whole and meet the zone.
 
     Each run's geometry is taken apart into its two-point lines, which find their zones
@@ -97,7 +99,8 @@ def clip_runs_to_zones(runs: DataFrame, zones: DataFrame, since: dt.datetime) ->
     distinct = zones.groupBy(*zones.columns).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
     zone_row = ["vsr_category", "vsr_region", *SEASON, "_zone", "_copies"]
     numbered = distinct.withColumn("_zone", F.xxhash64(*zones.columns))
-    met = join_polygons(lines, "line", zone_index(numbered), in_season)
+    index = zone_index(numbered, geodesic=geodesic)
+    met = join_polygons(lines, "line", index, in_season)
     # A line that only touches a zone keeps its run there, with no part.
     parts = with_clip(met, "line", "_parts").withColumn("_part", F.explode_outer("_parts"))
     hop = F.struct(
