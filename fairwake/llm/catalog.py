@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairwake.llm.common import documents, tokenizer_path
+from fairwake.llm.common import documents, scratch, tokenizer_path
 from fairwake.llm.exact_dedup import exact_groups
+from fairwake.llm.filter_audit import interactions
 from fairwake.llm.html_text import extract_text
 from fairwake.llm.langid import identify
 from fairwake.llm.licenses import license_labels
@@ -22,6 +23,8 @@ from fairwake.llm.secrets import secret_spans
 from fairwake.llm.sharding import shard_rows
 from fairwake.llm.simhash import near_groups
 from fairwake.llm.statements import STATEMENTS
+from fairwake.llm.token_files import checksums, read_ids, with_start, write_ids
+from fairwake.llm.turn_repair import damaged, repaired
 
 __all__ = ["QUERIES", "STATEMENTS"]
 
@@ -119,6 +122,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("full_hash", "text_sha256")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = documents(spark, sf_dir), scratch(spark, "token-files")
+    write_ids(docs, tokenizer_path(), path)
+    stored = read_ids(spark, path, docs.schema["doc_id"].dataType)
+    return with_start(checksums(stored), stored).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repaired(damaged(turns))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -132,5 +151,8 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_license_scan,
         op10_exact_dedup,
+        op11_token_files,
+        op12_conversation_repair,
+        op13_filter_audit,
     )
 }

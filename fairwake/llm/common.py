@@ -45,13 +45,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder; what is written there goes when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of `df`, written below the shared folder and read from there.
 
     Later steps then start from files that survive lost executors, and values that a
     second computation could change (row numbers, sampling) are fixed.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

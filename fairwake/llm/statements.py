@@ -57,4 +57,48 @@ FROM h
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id ASC NULLS LAST)
 """
 
-STATEMENTS = {"op6_quality_rules": QUALITY, "op10_exact_dedup": EXACT}
+FILTERS = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+flags AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(w) < 200,
+     100 * len(list_distinct(w)) < 50 * len(w),
+     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+     regexp_matches(t, '[#$%&*|]'),
+     coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)] AS f
+  FROM d LEFT JOIN flags USING (doc_id)
+),
+c AS (
+  SELECT part, f[1] AS a, f[2] AS b, f[3] AS c, f[4] AS d, f[5] AS e, f,
+    count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x
+  FROM m GROUP BY ALL
+),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+),
+s AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+r AS (
+  SELECT part, o, step,
+    sum(n) FILTER (NOT list_bool_or(list_transform(o[1:step], lambda i: f[i]))) AS kept,
+    sum(n) FILTER (f[o[step]] AND NOT coalesce(list_bool_or(list_transform(o[1:step - 1], lambda i: f[i])), false)) AS removed,
+    sum(n) FILTER (f[o[step]] AND coalesce(list_bool_or(list_transform(o[1:step - 1], lambda i: f[i])), false)) AS redundant,
+    sum(n) FILTER (f[o[step]] AND len(list_filter(f, lambda v: v)) = 1) AS unique_fails,
+    sum(g) FILTER (f[o[step]] AND NOT coalesce(list_bool_or(list_transform(o[1:step - 1], lambda i: f[i])), false)) AS good_lost,
+    sum(x) FILTER (f[o[step]] AND NOT coalesce(list_bool_or(list_transform(o[1:step - 1], lambda i: f[i])), false)) AS toxic_lost
+  FROM c, s GROUP BY part, o, step
+)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i::BIGINT, 1)), '') AS filter_order,
+  step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, o[step]), 0)::BIGINT AS shapley
+FROM r
+"""
+
+STATEMENTS = {"op13_filter_audit": FILTERS, "op6_quality_rules": QUALITY, "op10_exact_dedup": EXACT}
