@@ -19,126 +19,54 @@ An empty table packs into nothing.
 
 from __future__ import annotations
 
-import json
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
-import pandas as pd
-import tiktoken
+import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from fairwake.llm.common import small_batches, written
+from fairwake.llm.common import written
+from fairwake.llm.tokens import by_bytes, encoder
 
 WINDOW = 1024
 END = 0
-CACHE = 100_000  # words whose ids are kept, twice: the current and the last generation
-CACHED_LENGTH = 48
-
-# A space between two characters that aren't white space always starts a new word of the
-# tokenizer, so what lies between such spaces has ids of its own.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-IRREGULAR = re.compile(r"\s\s|^\s|\s$")
-
-
-# Fixed value: how byte-level BPE files of this family split a text into words.
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-def _letters_of_bytes() -> dict[str, int]:
-    """The letters that stand for bytes in a byte-level vocabulary."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-def byte_ranks(path: str) -> dict[bytes, int] | None:
-    """The vocabulary by bytes if the file is plain byte-level BPE whose ids follow its merges."""
-    with open(path, encoding="utf-8") as file:
-        content = json.load(file)
-    model, pre = content["model"], content["pre_tokenizer"] or {}
-    plain = model["type"] == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
-    if not plain or pre.get("add_prefix_space") or content["normalizer"] or model.get("ignore_merges"):
-        return None
-    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-    ids = [model["vocab"].get(a + b, -1) for a, b in merges]
-    if ids != sorted(ids) or -1 in ids:
-        return None
-    special = {t["content"] for t in content["added_tokens"]}
-    letters = _letters_of_bytes()
-    return {bytes(letters[c] for c in w): i for w, i in model["vocab"].items() if w not in special}
-
-
-class Words:
-    """Token ids as little-endian 32-bit numbers, from a bounded cache of words.
-
-    Words that are not cached go to `tiktoken` with the file's own vocabulary where that is
-    sure to give the same ids as `tokenizers`, at a sixth of the cost; else to `tokenizers`.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        ranks = byte_ranks(path)
-        self.fast = ranks and tiktoken.Encoding(path, pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        if self.fast:
-            found = map(self.fast.encode_ordinary, texts)
-        else:
-            found = (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [CUT.split(t) if IRREGULAR.search(t) else t.split(" ") for t in texts]
-        new, old = self.new, self.old
-        unknown: dict[str, None] = {}
-        for words in split:
-            for word in words[1:]:
-                if word not in new:
-                    if word in old:
-                        new[word] = old[word]
-                    else:
-                        unknown[word] = None
-        long = {w for w in unknown if len(w) > CACHED_LENGTH}
-        found = dict(zip(unknown, self._encode([f" {w}" for w in unknown])))
-        new.update(found)
-        firsts = self._encode([words[0] for words in split])
-        out = [b"".join([first, *map(new.__getitem__, words[1:])]) for first, words in zip(firsts, split)]
-        for word in long:
-            del new[word]
-        if len(new) > CACHE:
-            self.old, self.new = new, {}
-        return out
-
-
-_words: dict[str, Words] = {}  # of this Python worker
-
 
 def _tokenised(path: str, window: int, with_ids: bool):
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _words.setdefault(path, Words(path))
-        part, ordinals = TaskContext.get().partitionId(), [0] * (window + 1)
-        for batch in batches:
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"].astype("object"), words.encode(batch["text"].tolist())):
-                ids += struct.pack("<I", END)
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    piece = ids[4 * start : 4 * (start + window)]
-                    length = len(piece) // 4
-                    row = (doc_id, start, length, zlib.crc32(piece), total, part, ordinals[length])
-                    rows.append((*row, piece) if with_ids else row)
-                    ordinals[length] += 1
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "ordinal", "ids"]
-            yield pd.DataFrame(rows, columns=names[: 7 + with_ids])
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, ordinals = TaskContext.get().partitionId(), np.zeros(window + 1, dtype=np.int64)
+        for batch in by_bytes(batches, "text"):
+            ids, offsets = encoder(path).encode(batch.column("text"), END)
+            ids = ids.astype("<u4")
+            totals = np.diff(offsets)
+            pieces = -(-totals // window)
+            doc = np.repeat(np.arange(len(totals)), pieces)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
+            length = np.minimum(totals[doc] - start, window)
+            ends = np.cumsum(length)
+            data = memoryview(ids).cast("B")
+            crcs = [zlib.crc32(data[4 * (b - n) : 4 * b]) for b, n in zip(ends.tolist(), length.tolist())]
+            # the n-th piece of its length in this task
+            by_length = np.argsort(length, kind="stable")
+            found = np.bincount(length, minlength=window + 1)
+            ordinal = np.empty(len(length), dtype=np.int64)
+            ordinal[by_length] = np.arange(len(length)) - np.repeat(np.cumsum(found) - found, found)
+            columns = {
+                "doc_id": batch.column("doc_id").take(pa.array(doc)),
+                "start": start,
+                "length": length,
+                "ids_crc32": crcs,
+                "doc_tokens": totals[doc],
+                "part": np.full(len(doc), part, dtype=np.int32),
+                "ordinal": ordinal + ordinals[length],
+            }
+            ordinals += found
+            if with_ids:
+                columns["ids"] = [data[4 * (b - n) : 4 * b].tobytes() for b, n in zip(ends.tolist(), length.tolist())]
+            yield pa.RecordBatch.from_pydict(columns)
 
     return read
 
@@ -232,7 +160,6 @@ def pack(
     than `window` tokens are to be padded by whoever writes them out.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     texts = docs.select(
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
@@ -241,7 +168,7 @@ def pack(
         f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, part int, ordinal long"
         + ", ids binary" * with_ids
     )
-    pieces = written(texts.mapInPandas(_tokenised(tokenizer, window, with_ids), schema), "pack-pieces")
+    pieces = written(texts.mapInArrow(_tokenised(tokenizer, window, with_ids), schema), "pack-pieces")
     per_task = written(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
 
     counts = [0] * (window + 1)

@@ -3,11 +3,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from fairwake.llm.catalog import QUERIES
 from fairwake.llm.common import tokenizer_path
-from fairwake.llm.packing import SegmentTree, Words, best_fit_decreasing, pack
+from fairwake.llm.packing import SegmentTree, best_fit_decreasing, pack
+from fairwake.llm.tokens import Encoder, by_bytes
 
 FOLDER = "/root/testdata/sf0.001"
 ODD = ["a  b", " a", "a ", "a\n\nb c", "a \n b", "\t", "", "  ", "a   ", "don't 's  't x\x1c y\x85 z", "x  y  z  ", "foo  \nbar", "<|endoftext|> x", "x" * 300 + " é　b"]
@@ -66,21 +68,34 @@ def test_segment_tree():
 
 
 def test_same_ids_as_tokenizers(texts):
+    """As an unmodified tokenizer gives them, strings of special tokens included."""
     reference = Tokenizer.from_file(tokenizer_path())
-    reference.encode_special_tokens = True
-    words = Words(tokenizer_path())
-    sample = [*ODD, *(t for t in list(texts.values())[:120] if t)]
-    for _ in range(2):  # the second time from the cache
-        got = [np.frombuffer(b, "<u4").tolist() for b in words.encode(sample)]
-        assert got == [e.ids for e in reference.encode_batch(sample, add_special_tokens=False)]
-    slow = Words(tokenizer_path())
+    parts = [" ", " ", "a", "b", "'s", "\n", "\t", "é", "12", ".", "\x1c", "\u3000", "<|endoftext|>", "<|endo", "語"]
+    rng = random.Random(1)
+    mixed = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)]
+    sample = [*ODD, *mixed, *(t for t in list(texts.values())[:120] if t)]
+    wanted = [e.ids for e in reference.encode_batch(sample, add_special_tokens=False)]
+    assert any(50256 in ids for ids in wanted)
+    fast, slow = Encoder(tokenizer_path()), Encoder(tokenizer_path())
     slow.fast = None
-    assert slow.encode(sample) == words.encode(sample)
+    for encoder in (fast, slow):
+        for end in (None, 0):
+            ids, offsets = encoder.encode(pa.array(sample), end)
+            got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+            assert got == [[*w, *([] if end is None else [end])] for w in wanted]
+        ids, offsets = encoder.encode(pa.array([], pa.string()), 0)
+        assert len(ids) == 0 and offsets.tolist() == [0]
+
+
+def test_batches_by_bytes():
+    rows = pa.record_batch({"i": list(range(9)), "text": ["x" * n for n in (1, 2, 30, 0, 4, 4, 4, 1, 1)]})
+    parts = list(by_bytes(iter([rows.slice(0, 4), rows.slice(4, 5)]), "text", 10))
+    assert [p.column("i").to_pylist() for p in parts] == [[0, 1, 2], [3, 4, 5, 6], [7, 8]]
+    assert list(by_bytes(iter([]), "text")) == []
 
 
 def check(rows, texts, window):
     reference = Tokenizer.from_file(tokenizer_path())
-    reference.encode_special_tokens = True
     by_doc, by_sequence = {}, {}
     for r in rows:
         by_doc.setdefault(r["doc_id"], []).append(r)
@@ -112,6 +127,8 @@ def test_documents(spark, texts):
 
 def test_hard_rows(spark, hard, clashing, nothing):
     once = hard.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    special = spark.createDataFrame([(77, "a <|endoftext|> b<|endoftext|>", "en", "c", 9)], once.schema)
+    once = once.union(special)
     texts = {r["doc_id"]: r["text"] for r in once.collect()}
     check(pack(once, tokenizer_path(), window=64).collect(), texts, 64)
     for table in (hard, clashing):
