@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairwake.llm.common import small_batches
+from fairwake.llm.common import fresh, small_batches
 
 KINDS = ("assign", "access", "hex", "format")  # in the order of equal starts
 OTHER = "other"
@@ -298,7 +298,7 @@ def masked(text: str | None, formats: Formats) -> str | None:
 
 
 def without_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """All rows and columns, with secrets masked in the text and n_chars counted anew."""
+    """All rows and columns, with secrets masked; n_chars is counted anew where something was."""
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, text_column))
 
     @F.pandas_udf("string")
@@ -306,9 +306,10 @@ def without_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
         for texts in batches:
             yield pd.Series([masked(t, shared.value) for t in texts], dtype=object)
 
-    clean: dict[str, Column] = {text_column: mask(F.col(text_column))}
-    out = docs.withColumns(clean)
+    found, before = fresh(docs, "masked"), F.col(text_column)
+    out = docs.withColumn(found, mask(before))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.char_length(text_column).cast(kind))
-    return out.select(*docs.columns)
+        counted = F.char_length(found).cast(kind)
+        out = out.withColumn("n_chars", F.when(F.col(found).eqNullSafe(before), F.col("n_chars")).otherwise(counted))
+    return out.withColumn(text_column, F.col(found)).select(*docs.columns)
