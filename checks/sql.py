@@ -342,6 +342,50 @@ SUB["vertex"] = """
   UNION ALL
   SELECT mmsi, date, seg_id, final_speed_bin_num, region, path, timestamp, 0, lon, lat FROM hop WHERE opens = 1"""
 
+_RUN_ID = "concat_ws('|', mmsi, date, coalesce(CAST(seg_id AS VARCHAR), '-'), final_speed_bin_num, region)"
+_GAP_M = f"max(CASE WHEN opens = 1 AND last_lon IS NOT NULL THEN {metres('last_lon', 'last_lat', 'lon', 'lat')} END)"
+SUB["ladder"] = f"""
+  SELECT {_RUN_ID} AS run, CASE {" ".join(f"WHEN {_GAP_M} <= {t} THEN {t}" for t in [5, 10, 50, 100, 250, 500, 750, 1000])}
+    END AS tolerance
+  FROM hop GROUP BY ALL"""
+# Vertices of a run in one row of numbers, on a plane in metres.
+SUB["plane"] = f"""
+  SELECT v.*, tolerance, pos + 1 = count(*) OVER (PARTITION BY v.run) AS at_end,
+    radians(lon) * cos(radians(avg(lat) OVER (PARTITION BY v.run))) * 6371008.8E0 AS x, radians(lat) * 6371008.8E0 AS y
+  FROM (SELECT *, {_RUN_ID} AS run, row_number() OVER (PARTITION BY {_RUN_ID} ORDER BY path, timestamp, part) - 1 AS pos
+        FROM vertex) v
+    JOIN ladder l ON l.run = v.run"""
+_SHARE = """CASE WHEN power(b.x - a.x, 2) + power(b.y - a.y, 2) > 0 THEN least(1E0, greatest(0E0,
+  ((v.x - a.x) * (b.x - a.x) + (v.y - a.y) * (b.y - a.y)) / (power(b.x - a.x, 2) + power(b.y - a.y, 2)))) ELSE 0E0 END"""
+_OFF = f"round(sqrt(power(v.x - a.x - {_SHARE} * (b.x - a.x), 2) + power(v.y - a.y - {_SHARE} * (b.y - a.y), 2)), 6)"
+
+
+def stayed(plane: str) -> str:
+    """Positions that stay: a stretch between two of them is split at the vertex farthest from its chord."""
+    return f"""
+  WITH RECURSIVE stretch(run, tolerance, f, l) AS (
+    SELECT run, tolerance, 0, pos FROM {plane} WHERE at_end AND tolerance IS NOT NULL
+    UNION ALL
+    SELECT run, tolerance, unnest([f, -best.back]), unnest([-best.back, l]) FROM (
+      SELECT s.run, s.tolerance, s.f, s.l, max({{'off': {_OFF}, 'back': -v.pos}}) AS best
+      FROM stretch s JOIN {plane} a ON a.run = s.run AND a.pos = s.f JOIN {plane} b ON b.run = s.run AND b.pos = s.l
+        JOIN {plane} v ON v.run = s.run AND v.pos > s.f AND v.pos < s.l
+      GROUP BY ALL)
+    WHERE best.off > tolerance)
+  SELECT run, f AS pos FROM stretch UNION SELECT run, l FROM stretch"""
+
+
+SUB["stayed"] = stayed("plane")
+SUB["track_plane"] = """
+  SELECT *, pos + 1 = count(*) OVER (PARTITION BY run) AS at_end,
+    radians(lon) * cos(radians(avg(lat) OVER (PARTITION BY run))) * 6371008.8E0 AS x, radians(lat) * 6371008.8E0 AS y
+  FROM (
+    SELECT mmsi, CAST(date_trunc('week', timestamp) AS DATE) AS week, lon, lat, concat_ws('|', mmsi, date_trunc('week', timestamp)) AS run,
+      row_number() OVER (PARTITION BY mmsi, date_trunc('week', timestamp) ORDER BY timestamp, lon, lat) - 1 AS pos,
+      CASE mmsi % 3 WHEN 0 THEN 1000 WHEN 1 THEN 5000 ELSE 20000 END AS tolerance
+    FROM ais WHERE mmsi IS NOT NULL)"""
+SUB["track_stayed"] = stayed("track_plane")
+
 SUB["cat"] = f"SELECT * FROM (VALUES {_CATEGORY_ROWS}) AS t(cat_type, ship_category)"
 SUB["valid"] = """
   SELECT v.*, r.name_of_ship, r.shiptype, r.operator, r.operator_code, r.technical_manager
@@ -466,6 +510,10 @@ SUB["runs_rows"] = f"""
   WHERE npts > 1 AND total_distance_nm > 0 AND total_distance_nm < 100"""
 
 
+# Subqueries that a recursion reads in every round.
+READ_OFTEN = {"plane", "track_plane"}
+
+
 def query(final: str) -> str:
     """The statement with the subqueries it refers to, in dependency order."""
     ordered: list[str] = []
@@ -478,7 +526,8 @@ def query(final: str) -> str:
                 ordered.append(name)
 
     visit(final)
-    head = ",\n".join(f"{name} AS ({SUB[name]})" for name in ordered)
+    kept = {name: "MATERIALIZED " if name in READ_OFTEN else "" for name in ordered}
+    head = ",\n".join(f"{name} AS {kept[name]}({SUB[name]})" for name in ordered)
     return f"WITH {head}\n{final}" if ordered else final
 
 

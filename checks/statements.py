@@ -8,7 +8,7 @@ from checks.sql import (
     speed_bin, text,
 )
 
-from fairwake.plans.catalog import MIDDLE, SPARSE_INTEGERS
+from fairwake.plans.catalog import MIDDLE, SPARSE_INTEGERS, WEST
 
 FINALS: dict[str, str] = {}
 
@@ -213,6 +213,17 @@ SELECT {_RUN}, {dbl(rnd(_GAP, 3))} AS widest_gap_m, CAST(CASE
   {" ".join(f"WHEN {_GAP} <= {t} THEN {t}" for t in [5, 10, 50, 100, 250, 500, 750, 1000])} END AS BIGINT) AS tolerance_m
 FROM hop GROUP BY {_RUN_GROUP}"""
 
+FINALS["run_simplify"] = f"""
+SELECT {_RUN}, 0::BIGINT AS path, row_number() OVER (PARTITION BY p.run ORDER BY p.pos) - 1 AS vertex, lon, lat
+FROM plane p JOIN stayed k ON k.run = p.run AND k.pos = p.pos
+UNION ALL
+SELECT {_RUN}, {big('path - 1')}, row_number() OVER (PARTITION BY run, path ORDER BY pos) - 1, lon, lat
+FROM plane WHERE tolerance IS NULL"""
+
+FINALS["track_simplify"] = """
+SELECT mmsi, week, row_number() OVER (PARTITION BY p.run ORDER BY p.pos) - 1 AS vertex, lon, lat
+FROM track_plane p JOIN track_stayed k ON k.run = p.run AND k.pos = p.pos"""
+
 # ---- zones ----------------------------------------------------------------------
 
 _ZONE = "vsr_category, vsr_region"
@@ -230,6 +241,20 @@ _INSIDE_NM = f"{dbl(rnd(f'CASE WHEN t0 < t1 THEN {_INSIDE} ELSE 0E0 END * 0.0005
 FINALS["vsr_clip"] = f"""
 SELECT mmsi, num, {_ZONE}, {big('CASE WHEN t0 < t1 THEN 1 ELSE 0 END')} AS lines, {_INSIDE_NM} AS inside_nm FROM vsr"""
 FINALS["vsr_segments"] = f"SELECT {_SEGMENT}, region, touches_coast, {_ZONE} FROM vsr"
+
+
+def _vertices(lon: str, digits: int) -> str:
+    """Both ends of the part inside a zone."""
+    ends = " UNION ALL ".join(
+        f"SELECT mmsi, num, {_ZONE}, 0::BIGINT AS path, {i}::BIGINT AS vertex, {dbl(rnd(lon.format(_at(t, 'lon')), digits))} AS lon, "
+        f"{dbl(rnd(_at(t, 'lat'), digits))} AS lat FROM vsr WHERE t0 < t1"
+        for i, t in enumerate(["t0", "t1"])
+    )
+    return f"SELECT * FROM ({ends})"
+
+
+FINALS["vsr_vertices"] = _vertices("{0}", 7)
+FINALS["vsr_dateline"] = _vertices(f"({{0}} - {WEST} + CASE WHEN {{0}} - {WEST} < -180 THEN 360 ELSE 0 END)", 6)
 FINALS["vsr_join_legacy"] = f"""
 SELECT s.*, h.vsr_category FROM (SELECT {_SEGMENT_LEGACY} FROM seg_legacy) s
   JOIN (SELECT * FROM zone_hit_legacy) h ON s.mmsi = h.mmsi AND s.num = h.num"""

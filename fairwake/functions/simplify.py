@@ -1,21 +1,20 @@
 """Straightening of run geometries that consist of several paths.
 
-The tolerance is chosen with Column expressions; only the runs that need it go, in
-Arrow batches, through the line simplification below.
+The tolerance is chosen, and the line simplified, with array expressions; no row leaves
+the JVM, and runs that need no straightening pass untouched.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fairwake.functions import geo
 
 # Tolerances tried, in metres.
 TOLERANCES_M = [5, 10, 50, 100, 250, 500, 750, 1000]
+# Distances from a chord count in whole micrometres, so that equal ones are equal on any platform.
+DIGITS = 6
 
 
 def with_tolerance(runs: DataFrame, paths: str, into: str, gap: str = "_gap") -> DataFrame:
@@ -34,55 +33,70 @@ def with_tolerance(runs: DataFrame, paths: str, into: str, gap: str = "_gap") ->
 def with_straightened(runs: DataFrame, paths: str, into: str) -> DataFrame:
     """Add the paths as one simplified line where a tolerance allows it, else unchanged."""
     needed = F.col("_tolerance").isNotNull()
+    chosen = with_tolerance(runs, paths, "_ladder").withColumn("_tolerance", once(F.col("_ladder")))
+    joined = chosen.withColumn("_joined", once(F.when(needed, F.flatten(paths))))
     line = F.expr("array(transform(_kept, i -> get(_joined, i)))")
     return (
-        with_tolerance(runs, paths, "_tolerance")
-        .withColumn("_joined", F.when(needed, F.flatten(paths)))
-        .withColumn(
-            "_kept",
-            _kept_vertices(
-                F.col("_joined.lon"),
-                F.col("_joined.lat"),
-                F.col("_tolerance"),
-            ),
-        )
-        .withColumn(into, F.when(needed, line).otherwise(F.col(paths)))
-        .drop("_gap", "_tolerance", "_joined", "_kept")
+        with_kept_vertices(joined, "_joined", "_tolerance", "_kept")
+        .withColumn(into, once(F.when(needed, line).otherwise(F.col(paths))))
+        .drop("_gap", "_ladder", "_tolerance", "_joined", "_kept")
     )
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _kept_vertices(lons: pd.Series, lats: pd.Series, tolerance: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if lon is None else kept_vertices(np.asarray(lon), np.asarray(lat), t)
-            for lon, lat, t in zip(lons, lats, tolerance)
-        ]
-    )
+def once(value: Column) -> Column:
+    """The value from a generator of one row.
+
+    Spark neither repeats a generator's expression where its result is used nor moves
+    filters on the result below it, which for long expressions takes the optimizer minutes.
+    """
+    return F.explode(F.array(value))
 
 
-def kept_vertices(lon: np.ndarray, lat: np.ndarray, tolerance: float) -> list[int]:
-    """Positions of the vertices that stay when a line is simplified to a tolerance.
+def with_kept_vertices(rows: DataFrame, line: str, tolerance: str, into: str) -> DataFrame:
+    """Add the positions of the vertices that stay when a line is simplified to a tolerance.
 
-    Repeatedly keeps the vertex farthest from the chord of its stretch while that is
-    farther away than the tolerance (metres on a local plane).
+    In rounds: between every two neighbouring vertices that stay, the vertex farthest from
+    their chord joins them while it is farther away than the tolerance (metres on a local
+    plane; of equally far ones the first). A round looks at each vertex once, and rounds end
+    when none joins, which takes as many as the longest chain of such choices.
     """
-    x = np.radians(lon) * np.cos(np.radians(lat.mean())) * geo.EARTH_RADIUS_M
-    y = np.radians(lat) * geo.EARTH_RADIUS_M
-    keep = {0, len(lon) - 1}
-    stretches = [(0, len(lon) - 1)]
-    while stretches:
-        first, last = stretches.pop()
-        if last - first < 2:
-            continue
-        dx, dy = x[last] - x[first], y[last] - y[first]
-        px, py = x[first + 1 : last] - x[first], y[first + 1 : last] - y[first]
-        chord = dx * dx + dy * dy
-        share = np.clip((px * dx + py * dy) / chord, 0.0, 1.0) if chord > 0 else 0.0
-        off = np.hypot(px - share * dx, py - share * dy)
-        far = int(off.argmax())
-        if off[far] > tolerance:
-            middle = first + 1 + far
-            keep.add(middle)
-            stretches += [(first, middle), (middle, last)]
-    return sorted(keep)
+    turn = f"get({line}, 0).lon"
+    near = f"(v.lon - case when v.lon - {turn} > 180 then 360D when {turn} - v.lon > 180 then -360D else 0D end)"
+    metres = f"{geo.EARTH_RADIUS_M!r}D"
+    mean = f"(aggregate({line}, 0D, (s, v) -> s + v.lat) / size({line}))"
+    plane = (
+        f"transform({line}, v -> named_struct('x', radians({near}) * _scale * {metres}, 'y', radians(v.lat) * {metres}))"
+    )
+    a, b, v = "get(_plane, f)", "get(_plane, l)", "get(_plane, m)"
+    # the chord's ends once per stretch, by binding them as the element of a one-element array
+    chord = f"named_struct('f', f, 'l', l, 'x', {a}.x, 'y', {a}.y, 'dx', {b}.x - {a}.x, 'dy', {b}.y - {a}.y)"
+    px, py = f"({v}.x - c.x)", f"({v}.y - c.y)"
+    length = "(c.dx * c.dx + c.dy * c.dy)"
+    share = (
+        f"case when {length} > 0 then least(1D, greatest(0D, ({px} * c.dx + {py} * c.dy) / {length})) else 0D end"
+    )
+    off = f"sqrt(power({px} - t * c.dx, 2) + power({py} - t * c.dy, 2))"
+    distance = f"round(get(transform(array({share}), t -> {off}), 0), {DIGITS})"
+    candidates = f"transform(sequence(c.f + 1, c.l - 1), m -> named_struct('off', {distance}, 'rank', -m))"
+    farthest = f"array_max({candidates})"
+    chords = (
+        "transform(filter(transform(sequence(1, size(k) - 1), i -> struct(get(k, i - 1) as f, get(k, i) as l)),"
+        f" s -> s.l - s.f > 1), s -> get(transform(array(s.f), f -> get(transform(array(s.l), l -> {chord}), 0)), 0))"
+    )
+    joining = f"transform(filter(transform({chords}, c -> {farthest}), d -> d.off > {tolerance}), d -> -d.rank)"
+    grown = f"array_sort(concat(k, {joining}))"
+    step = f"case when s.done then s else get(transform(array(s.kept), k -> {_state(grown)}), 0) end"
+    ends = f"case when size({line}) > 0 then array_distinct(array(0, size({line}) - 1)) else array() end"
+    begin = f"named_struct('kept', cast({ends} as array<int>), 'done', size({line}) < 3)"
+    rounds = f"aggregate(sequence(1, greatest(size({line}), 1)), {begin}, (s, r) -> {step})"
+    return (
+        rows.withColumn("_scale", F.expr(f"cos(radians({mean}))"))
+        .withColumn("_plane", once(F.expr(f"case when {tolerance} is not null then {plane} end")))
+        .withColumn(into, once(F.expr(f"case when {tolerance} is not null then {rounds}.kept end")))
+        .drop("_scale", "_plane")
+    )
+
+
+def _state(grown: str) -> str:
+    """After a round: what is kept, and whether nothing joined."""
+    return f"get(transform(array({grown}), g -> named_struct('kept', g, 'done', size(g) = size(k))), 0)"

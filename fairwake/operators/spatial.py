@@ -8,25 +8,43 @@ first point. As the line then lies inside the block, that row decides everything
 about it: relation and clip need no other row. So each line meets each polygon at most
 once, by an equi join on the cell, with no pairs to remove afterwards.
 
-Cells far from the polygon's border carry no edges, and cells outside its reach do not
-occur. The largest cell size spans the globe, so lines of any length are covered.
-Lines and polygons across the 180 degree meridian must be split by the caller.
+The index is built from edges as rows. They are spread over tasks whatever polygon they
+belong to, joined to the cells whose blocks they reach, and grouped by polygon and cell.
+Which cells have their reference point inside follows from where the border passes the
+reference latitude of a row of cells: between its first and second pass, its third and
+fourth, and so on. Cells far from the border carry no edges, and cells outside the
+polygon's reach do not occur. The largest cell size spans the globe, so lines of any
+length are covered.
+
+Longitudes may jump at the 180 degree meridian. Rings and lines are unwrapped, so that
+they go on beyond it, and polygons are indexed three times, a turn of the globe apart.
+Rings around a pole are not supported.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import json
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fairwake.functions import geo
+from fairwake.sources import tables
 
 CELL_SIZES = (0.125, 1.0, 8.0, 360.0)
 CELL = ["_level", "_ix", "_iy"]
-CELL_COLUMNS = [*CELL, "_size"]
+CELL_COLUMNS = [*CELL, "_size", "_p", "_q"]
 # Largest index that is broadcast, and what a cell (with its polygon's attributes) and
 # an edge take in memory, rounded up.
 BROADCAST_LIMIT_BYTES = 64 << 20
 CELL_BYTES, EDGE_BYTES = 256, 80
+# Copies of an index that is not broadcast, where a join type cannot be split by Spark.
+SALTS = 8
+BUILD = 1  # changes with what the rows of a stored index mean
+# Degrees by which a computed longitude may be off.
+SLACK = "1E-9D"
 # Reference points sit off-centre by an irrational share, so that polygon vertices and
 # edges given in round degrees do not meet them.
 OFF_CENTRE = 0.41421356237
@@ -58,8 +76,9 @@ def geodesic_edges(edges: str, max_degrees: float = 0.1) -> str:
         x = mixed("cos(radians({0}.lat)) * cos(radians({0}.lon))")
         y = mixed("cos(radians({0}.lat)) * sin(radians({0}.lon))")
         z = mixed("sin(radians({0}.lat))")
+        lon = f"round(degrees(atan2({y}, {x})), 9)"
         between = geo.point(
-            f"round(degrees(atan2({y}, {x})), 9)",
+            f"({lon} + 360D * round((e.a.lon - {lon}) / 360D))",
             f"round(degrees(atan2({z}, sqrt({x} * {x} + {y} * {y}))), 9)",
         )
         return f"case {k} when 0 then e.a when e.n then e.b else {between} end"
@@ -80,64 +99,120 @@ def polygon_index(
     """One row per polygon and cell it can matter in.
 
     Columns: the attributes, the cell, `inside` (the cell's reference point lies in the
-    polygon) and `edges` (those in the block of cells around it). A polygon is cut first
-    into rows of cells and these into cells, each from its own row, without a shuffle.
-    Equal polygons stay separate.
+    polygon) and `edges` (those in the block of cells around it). Equal polygons are
+    indexed once and their rows repeated.
     """
-    edges = polygon_edges(rings)
-    whole = polygons.select(
-        *attributes, F.expr(geodesic_edges(edges) if geodesic else edges).alias("_edges")
-    ).selectExpr(
-        "*",
-        "array_min(_edges.a.lon) as _x0",
-        "array_max(_edges.a.lon) as _x1",
-        "array_min(_edges.a.lat) as _y0",
-        "array_max(_edges.a.lat) as _y1",
+    keyed = polygons.select(
+        F.xxhash64(*attributes, rings).alias("_polygon"), *attributes, F.col(rings).alias("_rings")
     )
-    levels = F.explode(F.sequence(F.lit(0), F.lit(len(CELL_SIZES) - 1)))
-    sized = whole.withColumn("_level", levels).withColumn("_size", _size_of("_level"))
-
-    # Edges reaching a row's block, and the longitudes at which the border passes the
-    # reference latitude of the row.
-    passes = f"(e.a.lat > {_reference('_iy')}) <> (e.b.lat > {_reference('_iy')})"
-    longitude = (
-        f"e.a.lon + (e.b.lon - e.a.lon) * ({_reference('_iy')} - e.a.lat) / (e.b.lat - e.a.lat)"
+    distinct = keyed.groupBy("_polygon").agg(
+        *[F.first(c).alias(c) for c in [*attributes, "_rings"]], F.count(F.lit(1)).cast("int").alias("_repeats")
     )
-    rows = (
-        sized.withColumn("_iy", F.explode(_cells("_y0", "_y1")))
-        .withColumn("_row_edges", F.expr(f"filter(_edges, e -> {_reaches('_iy', 'lat')})"))
-        .drop("_edges")
-        .withColumn(
-            "_passes", F.expr(f"transform(filter(_row_edges, e -> {passes}), e -> {longitude})")
-        )
+    edges = _edge_rows(distinct, geodesic)
+    near = _edges_by_cell(edges)
+    inner = _inner_cells(edges).withColumn("_edge", F.lit(None).cast(near.schema["_edge"].dataType))
+    seen = near.unionByName(inner)
+    cells = seen.groupBy("_polygon", *CELL).agg(
+        F.max(F.col("_edge").isNull()).alias("inside"), F.collect_list("_edge").alias("edges")
     )
-    odd = f"size(filter(_passes, x -> x > {_reference('_ix')})) % 2 = 1"
     return (
-        rows.withColumn("_ix", F.explode(_cells("_x0", "_x1")))
-        .withColumn("inside", F.expr(odd))
-        .withColumn("edges", F.expr(f"filter(_row_edges, e -> {_reaches('_ix', 'lon')})"))
-        .where("inside or size(edges) > 0")
+        cells.join(distinct.drop("_rings"), "_polygon")
+        .withColumn("_copy", F.explode(F.array_repeat("_polygon", F.col("_repeats"))))
         .select(*attributes, *CELL, "inside", "edges")
     )
 
 
-def union_index(polygons: DataFrame, rings: str, **options) -> DataFrame:
-    """One row per cell with every polygon near it, for tests against their union."""
-    index = polygon_index(polygons, rings, [], **options)
-    return index.groupBy(*CELL).agg(F.collect_list(F.struct("inside", "edges")).alias("parts"))
+def _edge_rows(polygons: DataFrame, geodesic: bool) -> DataFrame:
+    """(_polygon, _edge): every edge, unwrapped and a turn to either side, in as many tasks as rows allow."""
+    jump = "abs(get(_points, i).lon - get(_points, i - 1).lon) > 180"
+    turn = "if(get(_points, i).lon < get(_points, i - 1).lon, 1, -1)"
+    later = "case when size(_points) > 1 then sequence(1, size(_points) - 1) else array() end"
+    jumps = f"transform(filter({later}, i -> {jump}), i -> named_struct('i', i, 'turn', {turn}))"
+    numbered = (
+        "transform(_points, (p, i) -> named_struct('i', i, 'a', p, 'b', get(_points, (i + 1) % size(_points))))"
+    )
+    proper = f"filter({numbered}, e -> not {geo.same_point('e.a', 'e.b')})"
+    turned = "aggregate(filter(_jumps, j -> j.i <= _e.i), 0, (n, j) -> n + j.turn)"
+    spread = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    raw = (
+        polygons.select("_polygon", F.posexplode("_rings").alias("_ring", "_points"))
+        .select("_polygon", "_ring", F.expr(jumps).alias("_jumps"), F.explode(F.expr(proper)).alias("_e"))
+        # a number keeps Spark from putting a layer of few bytes into one task
+        .repartition(spread, "_polygon", "_ring", "_e.i")
+    )
+    begun = raw.select("_polygon", "_e.a", "_e.b", F.expr(f"_e.a.lon + 360D * {turned}").alias("_x"))
+    end = "b.lon + 360D * round((_x - b.lon) / 360D)"
+    whole = begun.selectExpr(
+        "_polygon", f"named_struct('a', {geo.point('_x', 'a.lat')}, 'b', {geo.point(end, 'b.lat')}) as _edge"
+    )
+    if geodesic:
+        whole = whole.select("_polygon", F.explode(F.expr(geodesic_edges("array(_edge)"))).alias("_edge"))
+    moved = [geo.point(f"_edge.{v}.lon + _shift", f"_edge.{v}.lat") for v in "ab"]
+    return whole.withColumn("_shift", F.explode(F.expr("array(-360D, 0D, 360D)"))).selectExpr(
+        "_polygon", f"named_struct('a', {moved[0]}, 'b', {moved[1]}) as _edge"
+    )
+
+
+def _sized(edges: DataFrame) -> DataFrame:
+    levels = F.explode(F.sequence(F.lit(0), F.lit(len(CELL_SIZES) - 1)))
+    return edges.withColumn("_level", levels).withColumn("_size", _size_of("_level"))
 
 
-def _cells(low: str, high: str) -> Column:
-    """Cells from low to high and the ones next to them, whose blocks reach there too."""
-    return F.expr(f"sequence(floor({low} / _size) - 1, floor({high} / _size) + 1)")
+def _edges_by_cell(edges: DataFrame) -> DataFrame:
+    """Each edge in every cell whose block of cells it reaches: (_polygon, cell, _edge)."""
+    a, b = "_edge.a", "_edge.b"
+    rows = _sized(edges).withColumn(
+        "_iy",
+        F.explode(_range(f"floor(least({a}.lat, {b}.lat) / _size) - 1", f"floor(greatest({a}.lat, {b}.lat) / _size) + 1", 90)),
+    )
 
+    def longitude(row: str) -> str:  # of the edge where it enters or leaves the row's block
+        share = f"(({row}) * _size - {a}.lat) / ({b}.lat - {a}.lat)"
+        return f"({a}.lon + ({b}.lon - {a}.lon) * least(1D, greatest(0D, {share})))"
 
-def _reaches(cell: str, axis: str) -> str:
-    """Whether edge e reaches the block of three cells around a cell."""
-    return (
-        f"least(e.a.{axis}, e.b.{axis}) <= ({cell} + 2) * _size"
-        f" and greatest(e.a.{axis}, e.b.{axis}) >= ({cell} - 1) * _size"
+    ends = [f"if({a}.lat = {b}.lat, {v}.lon, {longitude(row)})" for v, row in ((a, "_iy - 1"), (b, "_iy + 2"))]
+    reached = rows.selectExpr("*", f"{ends[0]} as _x0", f"{ends[1]} as _x1")
+    columns = _range(
+        f"floor((least(_x0, _x1) - {SLACK}) / _size) - 1", f"floor((greatest(_x0, _x1) + {SLACK}) / _size) + 1", 180
+    )
+    return reached.withColumn("_ix", F.explode(columns)).select("_polygon", *CELL, "_edge")
+
+
+def _inner_cells(edges: DataFrame) -> DataFrame:
+    """Cells whose reference point lies inside, from where the border passes a row's reference latitude."""
+    a, b = "_edge.a", "_edge.b"
+    rows = _sized(edges).withColumn(
+        "_iy",
+        F.explode(
+            _range(
+                f"floor(least({a}.lat, {b}.lat) / _size - {OFF_CENTRE}D)",
+                f"floor(greatest({a}.lat, {b}.lat) / _size - {OFF_CENTRE}D) + 1",
+                90,
+            )
+        ),
+    )
+    reference = _reference("_iy")
+    passes = rows.where(f"({a}.lat > {reference}) <> ({b}.lat > {reference})").selectExpr(
+        "_polygon",
+        "_level",
+        "_size",
+        "_iy",
+        f"{a}.lon + ({b}.lon - {a}.lon) * ({reference} - {a}.lat) / ({b}.lat - {a}.lat) as _x",
+    )
+    # the last cell of the row whose reference point lies before the pass
+    counted = passes.withColumn("_before", F.expr(f"ceil(_x / _size - {OFF_CENTRE}D) - 1")).selectExpr(
+        "*",
+        "row_number() OVER (PARTITION BY _polygon, _level, _iy ORDER BY _x) as _pass",
+        "lead(_before) OVER (PARTITION BY _polygon, _level, _iy ORDER BY _x) as _until",
     )
+    runs = counted.where("_pass % 2 = 1")
+    return runs.withColumn("_ix", F.explode(_range("_before + 1", "_until", 180))).select("_polygon", *CELL)
+
+
+def _range(low: str, high: str, limit: int) -> Column:
+    """Cells from low to high, as far as points within `limit` degrees have them."""
+    first, last = f"greatest({low}, floor(-{limit}D / _size))", f"least({high}, floor({limit}D / _size))"
+    return F.expr(f"case when {first} <= {last} then sequence({first}, {last}) else array() end")
 
 
 def _size_of(level: str) -> Column:
@@ -152,15 +227,18 @@ def _reference(cell: str) -> str:
 
 
 def with_cell(lines: DataFrame, line: str) -> DataFrame:
-    """Add the one index cell that decides about each two-point line."""
+    """Add the one index cell that decides about each two-point line, and its unwrapped ends."""
     p, q = geo.first(line), geo.second(line)
-    extent = f"greatest(abs({p}.lon - {q}.lon), abs({p}.lat - {q}.lat))"
+    over = f"case when {q}.lon - {p}.lon > 180 then -360D when {p}.lon - {q}.lon > 180 then 360D else 0D end"
+    extent = "greatest(abs(_p.lon - _q.lon), abs(_p.lat - _q.lat))"
     cases = " ".join(f"when {extent} <= {s}D then {i}" for i, s in enumerate(CELL_SIZES[:-1]))
     return (
-        lines.withColumn("_level", F.expr(f"case {cases} else {len(CELL_SIZES) - 1} end"))
+        lines.withColumn("_p", F.expr(p))
+        .withColumn("_q", F.expr(geo.point(f"{q}.lon + {over}", f"{q}.lat")))
+        .withColumn("_level", F.expr(f"case {cases} else {len(CELL_SIZES) - 1} end"))
         .withColumn("_size", _size_of("_level"))
-        .withColumn("_ix", F.expr(f"floor({p}.lon / _size)"))
-        .withColumn("_iy", F.expr(f"floor({p}.lat / _size)"))
+        .withColumn("_ix", F.expr("floor(_p.lon / _size)"))
+        .withColumn("_iy", F.expr("floor(_p.lat / _size)"))
     )
 
 
@@ -171,10 +249,10 @@ def contains(point: str, inside: str, edges: str) -> str:
     return f"({inside} <> ({swaps} % 2 = 1))"
 
 
-def intersects(line: str, inside: str, edges: str) -> str:
-    p, q = geo.first(line), geo.second(line)
-    meets_border = f"exists({edges}, e -> {geo.crosses(p, q, 'e')})"
-    return f"({meets_border} or {contains(p, inside, edges)})"
+def intersects(inside: str, edges: str) -> str:
+    """Whether the line that `with_cell` took apart meets the polygon."""
+    meets_border = f"exists({edges}, e -> {geo.crosses('_p', '_q', 'e')})"
+    return f"({meets_border} or {contains('_p', inside, edges)})"
 
 
 def with_clip(lines: DataFrame, line: str, into: str) -> DataFrame:
@@ -183,7 +261,7 @@ def with_clip(lines: DataFrame, line: str, into: str) -> DataFrame:
     `lines` comes from `join_polygons`. A line that lies within the polygon comes back
     as a single part equal to itself; one that only touches it gives no part.
     """
-    p, q = geo.first(line), geo.second(line)
+    p, q = "_p", "_q"
     crossed = f"filter(edges, e -> {geo.crosses(p, q, 'e')})"
     met = f"transform({crossed}, e -> {geo.crossing_fraction(p, q, 'e')})"
     cuts = (
@@ -197,7 +275,10 @@ def with_clip(lines: DataFrame, line: str, into: str) -> DataFrame:
         return f"({i} >= 0 and coalesce(get(_kept, {i}), false))"
 
     def vertex(t: str) -> str:
-        return f"case {t} when 0D then {p} when 1D then {q} else {geo.along(p, q, t)} end"
+        lat = f"{p}.lat + ({q}.lat - {p}.lat) * {t}"
+        back = geo.point("x - case when x > 180 then 360D when x < -180 then -360D else 0D end", lat)
+        between = f"get(transform(array({p}.lon + ({q}.lon - {p}.lon) * {t}), x -> {back}), 0)"
+        return f"case {t} when 0D then {geo.first(line)} when 1D then {geo.second(line)} else {between} end"
 
     pieces = "sequence(0, size(_kept) - 1)"
     first = f"filter({pieces}, i -> {is_kept('i')} and not {is_kept('i - 1')})"
@@ -216,41 +297,92 @@ def is_whole(parts: str, line: str) -> str:
     return f"(size({parts}) = 1 and get({parts}, 0) = {line})"
 
 
+# ---- stored indexes -------------------------------------------------------------
+
+
+class Index(NamedTuple):
+    """A polygon index that is written, and its size."""
+
+    rows: DataFrame
+    cells: int
+    edges: int
+
+
+def stored_index(
+    polygons: DataFrame, rings: str, attributes: list[str], *, geodesic: bool = False, folder: str | None = None
+) -> Index:
+    """The polygon index from below `folder`, written there if this layer was not yet.
+
+    A layer is known by a hash of its rows. An index counts once its entry stands, which
+    names its files and their size, so an index that was lost half-way is built again.
+    """
+    spark = polygons.sparkSession
+    folder = folder or f"{tables.shared_folder(spark)}/polygon-indexes"
+    columns = [*attributes, rings]
+    state = polygons.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first()
+    options = [polygons.select(*columns).schema.json(), geodesic, CELL_SIZES, BUILD]
+    layer = hashlib.sha256(json.dumps([*map(str, state), *options]).encode()).hexdigest()
+    index = polygon_index(polygons, rings, attributes, geodesic=geodesic)
+    entry = tables.read_note(spark, f"{folder}/{layer}.json")
+    if entry is None:
+        seen, path = Observation(), tables.unused(f"{folder}/{layer[:16]}")
+        counted = F.count(F.lit(1)).alias("cells"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")
+        index.observe(seen, *counted).write.parquet(path)
+        entry = {"path": path, **seen.get}
+        tables.write_note(spark, f"{folder}/{layer}.json", entry)
+    return Index(spark.read.schema(index.schema).parquet(entry["path"]), entry["cells"], entry["edges"])
+
+
 # ---- joins ----------------------------------------------------------------------
 
 
 def join_polygons(
-    lines: DataFrame, line: str, index: DataFrame, condition: str | None = None
+    lines: DataFrame, line: str, index: DataFrame | Index, condition: str | None = None
 ) -> DataFrame:
-    """One row per line and polygon that meet, plus `inside` and `edges` for a clip."""
-    joined = with_cell(lines, line).join(measured(index, "size(edges)"), CELL)
+    """One row per line and polygon that meet, plus `inside` and `edges` for a clip.
+
+    An index too large to be broadcast meets the lines in a merge join by cell, whose hot
+    cells adaptive execution splits.
+    """
+    rows, fits = measured(index)
+    joined = with_cell(lines, line).join(F.broadcast(rows) if fits else rows.hint("merge"), CELL)
     if condition is not None:
         joined = joined.where(condition)
-    return joined.where(intersects(line, "inside", "edges"))
+    return joined.where(intersects("inside", "edges"))
 
 
 def with_touch_flag(
-    lines: DataFrame, line: str, polygons: DataFrame, rings: str, into: str, **options
+    lines: DataFrame, line: str, polygons: DataFrame | Index, rings: str = "", into: str = "touches", **options
 ) -> DataFrame:
-    """Add whether each line meets the union of the polygons; FALSE if there are none."""
-    index = union_index(polygons, rings, **options)
-    edges = "aggregate(parts, 0L, (n, part) -> n + size(part.edges))"
-    touch = f"exists(parts, part -> {intersects(line, 'part.inside', 'part.edges')})"
-    return (
-        with_cell(lines, line)
-        .join(measured(index, edges), CELL, "left")
-        .withColumn(into, F.expr(f"coalesce({touch}, false)"))
-        .drop(*CELL_COLUMNS, "parts")
+    """Add whether each line meets any of the polygons; FALSE if there are none.
+
+    A line looks for one polygon of its cell that it meets, so polygons need not be put
+    together. Spark does not split this kind of join; where the index is not broadcast,
+    its rows are repeated `SALTS` times and the lines of a cell are dealt to them.
+    """
+    index = polygons if isinstance(polygons, Index) else stored_index(polygons, rings, [], **options)
+    rows, fits = measured(index)
+    named = [F.col(c).alias(f"{c}_of") for c in CELL]
+    salts = 1 if fits else SALTS
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    dealt = with_cell(lines, line).withColumn("_salt", F.expr(f"pmod(xxhash64(_p, _q), {salts})"))
+    salted = rows.select(*named, "inside", "edges", copies.alias("_salt_of"))
+    same_cell = " and ".join(f"{c} = {c}_of" for c in [*CELL, "_salt"])
+    found = (
+        f"exists(select /*+ {'broadcast' if fits else 'merge'}(i) */ 1 from {{polygons}} i"
+        f" where {same_cell} and {intersects('inside', 'edges')})"
     )
+    flagged = lines.sparkSession.sql(f"select *, {found} as {into} from {{lines}}", lines=dealt, polygons=salted)
+    return flagged.drop(*CELL_COLUMNS, "_salt")
 
 
-def measured(index: DataFrame, edges: str) -> DataFrame:
-    """The index, marked for a broadcast join if its counted size allows, else for a merge join.
+def measured(index: DataFrame | Index) -> tuple[DataFrame, bool]:
+    """The index's rows, and whether they are few enough to be broadcast.
 
-    Spark cannot foresee how many cells a polygon fills, so the cells and edges are
-    counted first, which is a small job on the polygons alone. In a merge join, lines
-    shuffle by cell and adaptive execution splits cells with too many of them.
+    Spark cannot foresee how many cells a polygon fills. A stored index knows its size;
+    one that is not stored is counted, which builds it.
     """
-    cells, all_edges = index.selectExpr("count(*)", f"coalesce(sum({edges}), 0)").first()
-    size = cells * CELL_BYTES + all_edges * EDGE_BYTES
-    return F.broadcast(index) if size <= BROADCAST_LIMIT_BYTES else index.hint("merge")
+    if not isinstance(index, Index):
+        cells, edges = index.selectExpr("count(*)", "coalesce(sum(size(edges)), 0)").first()
+        index = Index(index, cells, edges)
+    return index.rows, index.cells * CELL_BYTES + index.edges * EDGE_BYTES <= BROADCAST_LIMIT_BYTES

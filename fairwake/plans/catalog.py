@@ -640,12 +640,7 @@ def run_npts(c: Chain) -> DataFrame:
 @query
 def run_geometry(c: Chain) -> DataFrame:
     """Every vertex of every run, in order."""
-    found = runs.run_geometries(c.segments, EVER)
-    return (
-        found.select(*RUN, F.posexplode("paths").alias("path", "points"))
-        .select(*RUN, "path", F.posexplode("points").alias("vertex", "point"))
-        .select(*RUN, "path", "vertex", "point.lon", "point.lat")
-    )
+    return vertices(runs.run_geometries(c.segments, EVER), "paths", RUN)
 
 
 @query
@@ -658,10 +653,39 @@ def run_tolerance(c: Chain) -> DataFrame:
 
 @query
 def run_simplify(c: Chain) -> DataFrame:
+    """Every vertex of every run's straightened geometry, in order."""
     found = runs.build_runs(c.segments, EVER)
-    return found.withColumn("paths", F.size("geom")).withColumn(
-        "kept_points", geo.point_count("geom")
+    return vertices(found, "geom", RUN)
+
+
+@query
+def track_simplify(c: Chain) -> DataFrame:
+    """Every vessel's positions of a week as one line, simplified to a tolerance that differs by vessel."""
+    week = F.to_date(F.date_trunc("week", "timestamp")).alias("week")
+    place = F.struct("timestamp", "lon", "lat")
+    tracks = (
+        c.messages.where("mmsi is not null")
+        .groupBy("mmsi", week)
+        .agg(F.array_sort(F.collect_list(place)).alias("places"))
+        .withColumn("line", F.expr("transform(places, p -> named_struct('lon', p.lon, 'lat', p.lat))"))
+        .withColumn("tolerance", F.expr("get(array(1000, 5000, 20000), int(mmsi % 3))"))
     )
+    kept = simplify.with_kept_vertices(tracks, "line", "tolerance", "kept")
+    line = F.expr("transform(kept, i -> get(line, i))")
+    return kept.select("mmsi", "week", F.posexplode(line).alias("vertex", "point")).select(
+        "mmsi", "week", "vertex", "point.lon", "point.lat"
+    )
+
+
+def vertices(rows: DataFrame, paths: str, keys: list[str], digits: int | None = None) -> DataFrame:
+    """A row for each vertex of a multiline: the keys, path, vertex, lon, lat."""
+    each = rows.select(*keys, F.posexplode(paths).alias("path", "points")).select(
+        *keys, "path", F.posexplode("points").alias("vertex", "point")
+    )
+    lon_lat = [F.col(f"point.{c}") for c in ("lon", "lat")]
+    if digits is not None:
+        lon_lat = [numeric.rounded(c, digits).alias(name) for c, name in zip(lon_lat, ("lon", "lat"))]
+    return each.select(*keys, "path", "vertex", *lon_lat)
 
 
 @query
@@ -703,6 +727,30 @@ def vsr_segments(c: Chain) -> DataFrame:
     return c.zone_segments
 
 
+@query
+def vsr_vertices(c: Chain) -> DataFrame:
+    """Every vertex of the parts of segments that lie in their zones."""
+    return vertices(c.zone_segments, "vsr_linestring", ZONE_SEGMENT, digits=7)
+
+
+@query
+def vsr_dateline(c: Chain) -> DataFrame:
+    """The same with segments and zones moved west, over the 180 degree meridian."""
+    moved_segments = c.inland_segments.withColumn("linestring", F.expr(moved("linestring")))
+    moved_zones = c.zones.withColumn("geog", F.expr(f"transform(geog, ring -> {moved('ring')})"))
+    found = zones.segments_in_zones(moved_segments, moved_zones)
+    return vertices(found, "vsr_linestring", ZONE_SEGMENT, digits=6)
+
+
+ZONE_SEGMENT = ["mmsi", "num", "vsr_category", "vsr_region"]
+WEST = 57  # degrees; puts the second zone on both sides of the meridian
+
+
+def moved(points: str) -> str:
+    lon = f"(p.lon - {WEST} + case when p.lon - {WEST} < -180 then 360 else 0 end)"
+    return f"transform({points}, p -> {geo.point(lon, 'p.lat')})"
+
+
 @query
 def vsr_join_legacy(c: Chain) -> DataFrame:
     return zones.clip_to_zones_legacy(c.segments_legacy, c.zones, EVER)

@@ -10,19 +10,21 @@ from pyspark.sql import functions as F
 from fairwake.functions import geo
 from fairwake.operators.spatial import (
     CELL_COLUMNS,
+    Index,
     is_whole,
     join_polygons,
-    polygon_index,
+    stored_index,
     with_clip,
 )
 from fairwake.plans.segments import newer
 from fairwake.schemas import MULTILINE
 
 
-def zone_index(zones: DataFrame, *, geodesic: bool = True) -> DataFrame:
+def zone_index(zones: DataFrame, *, geodesic: bool = True) -> Index:
+    """The zones' index, built once for a layer and stored."""
     named = zones.withColumnRenamed("region", "vsr_region")
     attributes = [c for c in named.columns if c != "geog"]
-    return polygon_index(named, "geog", attributes, geodesic=geodesic)
+    return stored_index(named, "geog", attributes, geodesic=geodesic)
 
 
 def segments_in_zones(

@@ -13,6 +13,7 @@ version.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 import tempfile
 from functools import reduce
@@ -46,8 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder below the shared one that no other run uses."""
-    stamp = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{os.urandom(4).hex()}"
-    return f"{shared_folder(spark)}/{name}-{stamp}"
+    return unused(f"{shared_folder(spark)}/{name}")
+
+
+def unused(path: str) -> str:
+    """A path like this one that no other run uses."""
+    return f"{path}-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{os.urandom(4).hex()}"
 
 
 def scan_since(df: DataFrame, day: str, since: dt.datetime | dt.date) -> DataFrame:
@@ -98,6 +103,28 @@ def unmark(spark: SparkSession, folder: str) -> None:
     files.delete(path_class(f"{folder}/{COMPLETE}"), False)
 
 
+def write_note(spark: SparkSession, path: str, content: dict) -> None:
+    """Write a small JSON file at once: it is there as a whole or not at all."""
+    files, path_class = _files(spark, path)
+    draft = path_class(unused(path))
+    stream = files.create(draft)
+    stream.write(bytearray(json.dumps(content).encode()))
+    stream.close()
+    if not files.rename(draft, path_class(path)):  # another run was first
+        files.delete(draft, False)
+
+
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    files, path_class = _files(spark, path)
+    if not files.exists(path_class(path)):
+        return None
+    stream = files.open(path_class(path))
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def append_load(
     df: DataFrame, path: str, load_id: str, schema: T.StructType, *, day: Column, cluster: list[str]
 ) -> None:

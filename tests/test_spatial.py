@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairwake.functions import geo
-from fairwake.functions.simplify import kept_vertices, with_straightened, with_tolerance
+from fairwake.functions.simplify import with_kept_vertices, with_straightened, with_tolerance
 from fairwake.operators import spatial
 
 SQUARE = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]
@@ -175,17 +175,155 @@ def test_straightening_joins_paths_or_leaves_them(spark):
     assert joined == [(0.0, 0.0), bent[1][0], (0.1, 0.2)] and b == apart and c == single
 
 
-def test_simplified_line_stays_within_tolerance():
-    import numpy as np
-
-    rng = np.random.default_rng(3)
-    lon = np.cumsum(rng.normal(0, 0.001, 200)) - 120
-    lat = np.cumsum(rng.normal(0, 0.001, 200)) + 35
-    kept = kept_vertices(lon, lat, 250.0)
-    assert kept[0] == 0 and kept[-1] == 199 and len(kept) < 200
-    x, y = np.radians(lon) * np.cos(np.radians(lat.mean())) * 6371008.8, np.radians(lat) * 6371008.8
-    for a, b in zip(kept, kept[1:]):
-        for i in range(a + 1, b):
-            dx, dy = x[b] - x[a], y[b] - y[a]
-            t = min(1, max(0, ((x[i] - x[a]) * dx + (y[i] - y[a]) * dy) / (dx * dx + dy * dy)))
-            assert np.hypot(x[i] - x[a] - t * dx, y[i] - y[a] - t * dy) <= 250.0
+def kept_vertices(line, tolerance):
+    """One stretch after the other, each split at its farthest vertex."""
+    scale = math.cos(math.radians(sum(lat for _, lat in line) / len(line))) * 6371008.8
+    x = [math.radians(lon) * scale for lon, _ in line]
+    y = [math.radians(lat) * 6371008.8 for _, lat in line]
+
+    def off(m, f, l):
+        dx, dy = x[l] - x[f], y[l] - y[f]
+        chord = dx * dx + dy * dy
+        t = min(1, max(0, ((x[m] - x[f]) * dx + (y[m] - y[f]) * dy) / chord)) if chord else 0
+        return round(math.hypot(x[m] - x[f] - t * dx, y[m] - y[f] - t * dy), 6)
+
+    kept, stretches = {0, len(line) - 1}, [(0, len(line) - 1)]
+    while stretches:
+        f, l = stretches.pop()
+        if l - f > 1:
+            far = max(range(f + 1, l), key=lambda m: (off(m, f, l), -m))
+            if off(far, f, l) > tolerance:
+                kept.add(far)
+                stretches += [(f, far), (far, l)]
+    return sorted(kept)
+
+
+def test_simplified_lines_against_the_recursive_form(spark):
+    rng = random.Random(3)
+    rows = []
+    for n in (1, 2, 3, 4, 10, 60, 200, 200, 200):
+        line, lon, lat = [], -120.0, 35.0
+        for _ in range(n):
+            lon, lat = lon + rng.gauss(0, 0.001), lat + rng.gauss(0, 0.001)
+            line.append((lon, lat))
+        rows += [(len(rows), line, t) for t in (None, 5, 100, 250, 1000)]
+    back = [(0.0, 0.0), (0.01, 0.0), (0.0, 0.0), (0.01, 0.0), (0.0, 0.0)]  # equal distances, closed
+    rows += [(100, back, 5), (101, [(1.0, 1.0)] * 5, 5)]
+    schema = "i int, line array<struct<lon:double,lat:double>>, tolerance bigint"
+    found = with_kept_vertices(spark.createDataFrame(rows, schema), "line", "tolerance", "kept").collect()
+    plan = with_kept_vertices(spark.createDataFrame(rows, schema), "line", "tolerance", "kept")
+    assert "Arrow" not in plan._jdf.queryExecution().executedPlan().toString()
+    for r, (_, line, tolerance) in zip(sorted(found, key=lambda r: r.i), rows):
+        if tolerance is None:
+            assert r.kept is None
+        else:
+            assert r.kept == kept_vertices(line, tolerance)
+
+
+def test_a_line_over_the_date_line_keeps_the_same_vertices(spark):
+    line = [(179.99 + 0.003 * i, 10.0 + 0.001 * (i * 7 % 5)) for i in range(12)]
+    over = [(lon - 360 if lon > 180 else lon, lat) for lon, lat in line]
+    schema = "i int, line array<struct<lon:double,lat:double>>, tolerance bigint"
+    rows = spark.createDataFrame([(0, line, 100), (1, over, 100)], schema)
+    a, b = with_kept_vertices(rows, "line", "tolerance", "kept").orderBy("i").collect()
+    assert a.kept == b.kept and 2 < len(a.kept) < 12
+
+
+def ring_of(n, centre=(0.0, 0.0), radius=2.0):
+    turn = [2 * math.pi * i / n for i in range(n)]
+    return [(centre[0] + radius * math.cos(t), centre[1] + radius * math.sin(t)) for t in turn]
+
+
+def test_a_ring_of_many_edges_is_spread(spark):
+    ring = polygons(spark, ("ring", [ring_of(20_000, (10.0, 10.0))]))
+    keyed = ring.select(F.lit(1).alias("_polygon"), F.col("geom").alias("_rings"))
+    edges = spatial._edge_rows(keyed, geodesic=False)
+    counts = [r["count"] for r in edges.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 60_000 and len(counts) == 8 and max(counts) < 10_000  # three turns of the globe
+
+    index = spatial.polygon_index(ring, "geom", ["name"]).cache()
+    most = {r._level: r.most for r in index.groupBy("_level").agg(F.max(F.size("edges")).alias("most")).collect()}
+    assert most[0] < 1500  # edges of the finest cells are those of their blocks
+    rng = random.Random(11)
+    points = []
+    for k in range(300):
+        p = (rng.uniform(7.5, 12.5), rng.uniform(7.5, 12.5))
+        reach = [0.02, 0.1][k % 2]
+        points.append((p, (p[0] + rng.uniform(-reach, reach), p[1] + rng.uniform(-reach, reach))))
+    found = {r.i for r in spatial.join_polygons(lines(spark, points), "line", index).select("i").collect()}
+
+    def nearest(p, q):
+        dx, dy = q[0] - p[0], q[1] - p[1]
+        t = min(1, max(0, ((10 - p[0]) * dx + (10 - p[1]) * dy) / (dx * dx + dy * dy)))
+        return math.hypot(p[0] + t * dx - 10, p[1] + t * dy - 10)
+
+    assert found == {i for i, (p, q) in enumerate(points) if nearest(p, q) < 2.0}
+
+
+def moved(ring, by):
+    out = []
+    for lon, lat in ring:
+        lon += by
+        out.append((lon - 360 if lon > 180 else lon + 360 if lon <= -180 else lon, lat))
+    return out
+
+
+@pytest.mark.parametrize(("by", "geodesic"), [(173.0, False), (-185.5, True)])
+def test_polygons_over_the_date_line(spark, by, geodesic):
+    """The same hits and parts as away from it, for lines on both sides and across."""
+    rng = random.Random(5)
+    shapes = [("c", [CONCAVE]), ("h", [moved(SQUARE, 5), moved(HOLE, 5)]), ("w", [[(-9.0, -2.0), (15.0, -2.0), (15.0, 4.0), (-9.0, 4.0)]])]
+    points = []
+    for k in range(120):
+        reach = [0.05, 0.5, 3.0, 9.0][k % 4]
+        p = (rng.uniform(4.5, 9.5), rng.uniform(-0.5, 3.5))
+        points.append((p, (p[0] + rng.uniform(-reach, reach), p[1] + rng.uniform(-reach, reach))))
+
+    def parts(shift):
+        there = polygons(spark, *((n, [moved(r, shift) for r in rings]) for n, rings in shapes))
+        index = spatial.polygon_index(there, "geom", ["name"], geodesic=geodesic)
+        some = lines(spark, [tuple(moved(line, shift)) for line in points])
+        met = spatial.join_polygons(some, "line", index)
+        rows = spatial.with_clip(met, "line", "parts").select("i", "name", "parts").collect()
+        return {
+            (r.i, r.name): [[(round((v.lon - shift + 180) % 360 - 180, 6), round(v.lat, 6)) for v in p] for p in r.parts]
+            for r in rows
+        }
+
+    here, there = parts(0.0), parts(by)
+    assert here.keys() == there.keys() and len(here) > 100
+    for key, lines_here in here.items():
+        assert len(lines_here) == len(there[key])
+        for p, q in zip(lines_here, there[key]):
+            assert [c for v in p for c in v] == pytest.approx([c for v in q for c in v], abs=2e-6)
+
+
+def test_an_index_is_stored_once(spark, tmp_path):
+    shapes = polygons(spark, ("p", [SQUARE]), ("q", [CONCAVE]))
+    folder = str(tmp_path)
+    one = spatial.stored_index(shapes, "geom", ["name"], folder=folder)
+    before = {f.name for f in tmp_path.iterdir()}
+    two = spatial.stored_index(shapes, "geom", ["name"], folder=folder)
+    assert {f.name for f in tmp_path.iterdir()} == before and one[1:] == two[1:]
+    assert one.cells == one.rows.count() and one.edges == one.rows.selectExpr("sum(size(edges))").first()[0]
+    other = spatial.stored_index(shapes.where("name = 'p'"), "geom", ["name"], folder=folder)
+    assert other.cells < one.cells and len(list(tmp_path.iterdir())) > len(before)
+    # without its entry, an index was lost half-way and is built again
+    for entry in tmp_path.glob("*.json"):
+        entry.unlink()
+    again = spatial.stored_index(shapes, "geom", ["name"], folder=folder)
+    assert again[1:] == one[1:]
+    key = lambda r: (r.name, r._level, r._ix, r._iy, r.inside, len(r.edges))
+    assert sorted(map(key, again.rows.collect())) == sorted(map(key, one.rows.collect()))
+    none = spatial.stored_index(shapes.where("false"), "geom", ["name"], folder=folder)
+    assert (none.cells, none.edges) == (0, 0)
+
+
+def test_overlapping_polygons_and_odd_rows_touch(spark):
+    """Where polygons overlap, a line in both is inside; lines without points meet nothing."""
+    both = polygons(spark, ("a", [SQUARE]), ("b", [moved(SQUARE, 1)]), ("none", []), ("null", None))
+    rows = [(0, [(1.4, 1.0), (1.5, 1.0)]), (1, [(9.0, 9.0), (9.1, 9.0)]), (2, None), (3, [])]
+    some = spark.createDataFrame(rows, "i int, line array<struct<lon:double,lat:double>>")
+    flags = spatial.with_touch_flag(some, "line", both, "geom", "hit").orderBy("i").collect()
+    assert [r.hit for r in flags] == [True, False, False, False]
+    assert flags[0].asDict().keys() == {"i", "line", "hit"}
