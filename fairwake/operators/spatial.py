@@ -136,7 +136,8 @@ def _edge_rows(polygons: DataFrame, geodesic: bool) -> DataFrame:
     spread = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     raw = (
         polygons.select("_polygon", F.posexplode("_rings").alias("_ring", "_points"))
-        .select("_polygon", "_ring", F.expr(jumps).alias("_jumps"), F.explode(F.expr(proper)).alias("_e"))
+        .select("_polygon", "_ring", "_points", F.expr(jumps).alias("_jumps"))  # once a ring, not once an edge
+        .select("_polygon", "_ring", "_jumps", F.explode(F.expr(proper)).alias("_e"))
         # a number keeps Spark from putting a layer of few bytes into one task
         .repartition(spread, "_polygon", "_ring", "_e.i")
     )
