@@ -2,19 +2,22 @@
 
 Each template is a notice in words. From all documents the document frequency of every
 template word is counted. The rarest words of each template are its index entries: word ->
-(template, position, IDF). A file is scanned once for the indexed words; each of its
-highest-IDF words looks up its postings, and a posting votes for (template, place in the
-file minus position in the template). Votes for one alignment add up to the share of the
-template's indexed IDF. A template counts if its best alignment reaches `MIN_SCORE` and its
-key phrase stands, word for word, at the place the alignment says.
+(template, position, IDF). A file is scanned once for the indexed words; each of them looks
+up its postings, and a posting votes for (template, place in the file minus position in the
+template). Votes meet in windows of `SHIFT` places that overlap by half, so a notice with up
+to half as many words put in or left out still aligns. In a window each entry counts once;
+their IDFs' share of the template's is the score. A template counts if its best window
+reaches `MIN_SCORE` and its key phrase stands, word for word, in that window.
 
 Everything is built-in functions. Texts stay where they are: only the places of indexed
 words leave the scan, and votes combine before their shuffle. The index is as large as the
-templates, so it is broadcast; the frequencies are as many.
+templates, so it is broadcast; the frequencies are as many. A row of votes holds the entries
+of one template at most.
 
 Words are runs of letters, digits and all characters beyond ASCII; A to Z count as lower
 case. NULL texts are empty texts without labels. NULL ids and repeated rows are carried
-through. Ties change nothing: labels are sets.
+through; an empty table gives no rows; a very long text is scanned whole. Ties change
+nothing: labels are sets. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -66,9 +69,71 @@ TEMPLATES = (
     ),
     ("mpl", "subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
+    (
+        "cc-by-sa",
+        "licensed under a creative commons attribution sharealike 4 0 international license",
+        "creative commons attribution sharealike",
+    ),
+    (
+        "cc0",
+        "to the extent possible under law the author has dedicated all copyright and related and neighboring rights"
+        " to this software to the public domain worldwide",
+        "related and neighboring rights",
+    ),
+    (
+        "mit",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to"
+        " the warranties of merchantability fitness for a particular purpose and noninfringement",
+        "the software is provided as is without warranty of any kind",
+    ),
+    (
+        "apache",
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at"
+        " http www apache org licenses license 2 0",
+        "www apache org licenses license 2 0",
+    ),
+    (
+        "bsd",
+        "this software is provided by the copyright holders and contributors as is and any express or implied"
+        " warranties including but not limited to the implied warranties of merchantability and fitness for a"
+        " particular purpose are disclaimed",
+        "by the copyright holders and contributors as is",
+    ),
+    (
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser"
+        " general public license as published by the free software foundation",
+        "gnu lesser general public license",
+    ),
+    (
+        "agpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero"
+        " general public license as published by the free software foundation",
+        "gnu affero general public license",
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be"
+        " held liable for any damages arising from the use of this software",
+        "in no event will the authors be held liable",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain",
+        "free and unencumbered software",
+    ),
+    (
+        "epl",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license",
+        "eclipse public license",
+    ),
+    ("boost", "distributed under the boost software license version 1 0", "boost software license version 1 0"),
+    ("mit", "spdx license identifier mit", "spdx license identifier mit"),
+    ("apache", "spdx license identifier apache 2 0", "spdx license identifier apache 2 0"),
+    ("bsd", "spdx license identifier bsd 3 clause", "spdx license identifier bsd 3 clause"),
 )
 INDEX_WORDS = 5  # indexed words of a template: its rarest ones
-FILE_WORDS = 16  # words of a file that are looked up: its rarest indexed ones
+SHIFT = 8  # places of a file in which the votes for one alignment meet
 MIN_SCORE = 0.6
 
 
@@ -174,20 +239,9 @@ def license_labels(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .alias("phrases"),
     )
     base = list(BASE_PHRASES)
-    idf_map = F.create_map(*(F.lit(x) for pair in sorted(idf_of.items()) for x in pair))
-    rare_words = F.slice(
-        F.sort_array(
-            F.transform(
-                F.array_distinct(F.filter(F.transform("hits", lambda h: h["word"]), lambda w: w.isin(sorted(idf_of)))),
-                lambda w: F.struct((-F.element_at(idf_map, w)).alias("idf"), w.alias("word")),
-            )
-        ),
-        1,
-        FILE_WORDS,
-    )
     nothing = F.array().cast("array<struct<key:string,place:int>>")
     narrow = written(
-        phrased.withColumn("rare", F.transform(rare_words, lambda r: r["word"])).select(
+        phrased.select(
             "row",
             "doc_id",
             "n_words",
@@ -196,7 +250,7 @@ def license_labels(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 F.size("phrases") > 0,
                 F.concat(
                     F.transform(
-                        F.filter("hits", lambda h: F.array_contains("rare", h["word"])),
+                        F.filter("hits", lambda h: h["word"].isin(sorted(idf_of))),
                         lambda h: F.struct(h["word"].alias("key"), h["place"].alias("place")),
                     ),
                     F.transform(
@@ -213,14 +267,19 @@ def license_labels(docs: DataFrame, id_column: str = "doc_id", text_column: str
     labels = spark.createDataFrame(
         [(i, label) for i, (label, *_) in enumerate(TEMPLATES)], "template int, label string"
     )
+    start = F.col("place") - F.col("position")
+    windows = F.array(*(F.floor((start + half) / SHIFT) * 2 + half // (SHIFT // 2) for half in (0, SHIFT // 2)))
     aligned = (
         narrow.where("size(found) > 0")
         .select("row", F.explode("found").alias("f"))
         .select("row", F.col("f.key").alias("key"), F.col("f.place").alias("place"))
         .join(F.broadcast(table), "key")
-        .groupBy("row", "template", (F.col("place") - F.col("position")).alias("start"))
-        .agg(F.sum("share").alias("score"), F.sum("phrases").alias("phrases"))
-        .where((F.col("phrases") > 0) & (F.col("score") >= MIN_SCORE))
+        .select("row", "template", F.struct("position", "share", "phrases").alias("entry"), F.explode(windows).alias("window"))
+        .groupBy("row", "template", "window")
+        .agg(F.sort_array(F.collect_set("entry")).alias("entries"))
+        .where(F.exists("entries", lambda e: e["phrases"] > 0))
+        .withColumn("score", F.aggregate("entries", F.lit(0.0), lambda total, e: total + e["share"]))
+        .where(F.col("score") >= MIN_SCORE)
         .join(F.broadcast(labels), "template")
         .groupBy("row")
         .agg(F.collect_set("label").alias("found_labels"), F.max("score").alias("score"))
