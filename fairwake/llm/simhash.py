@@ -15,7 +15,9 @@ key differs in at most 17 bits, so it has a size bound whatever the corpus.
 Components of the links are found by alternating stars (`components`).
 
 NULL texts are empty; texts without a word have fingerprint 0 and are linked like any
-other. NULL ids are carried and never name a component (unless it has no other id).
+other. NULL ids are carried and never name a component (unless it has no other id). Very
+long texts are hashed whole, `WINDOWS` shingles at a time; repeated rows share a fingerprint
+and a component; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -219,10 +221,15 @@ def near_groups(
     )
     distinct = written(rows.groupBy("point").agg(F.min("doc_id").alias("lead")), "simhash-points")
     stars = roots(near_links(distinct, distance, hot))
-    rooted = distinct.join(stars, F.col("point") == F.col("node"), "left").select(
-        "point", "lead", F.coalesce("root", "point").alias("root")
+    rooted = written(
+        distinct.join(stars, F.col("point") == F.col("node"), "left").select(
+            "point", "lead", F.coalesce("root", "point").alias("root")
+        ),
+        "simhash-rooted",
     )
-    named = rooted.join(rooted.groupBy("root").agg(F.min("lead").alias("component_id")), "root")
+    # written, so that a component with very many fingerprints can be split in the join
+    names = written(rooted.groupBy("root").agg(F.min("lead").alias("component_id")), "simhash-names")
+    named = rooted.join(names, "root")
     return rows.join(named.select("point", "component_id"), "point").select(
         "doc_id", F.col("point").alias("fingerprint"), "component_id", "text_hash"
     )
