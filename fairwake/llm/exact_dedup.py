@@ -5,13 +5,16 @@ table suffice, and no text is shuffled:
 
 1. Length and prefix hash of each text are counted together (a prefix only ever meets
    prefixes of its own length). Keys seen once are settled: those texts are unique.
-2. The keys seen again are folded into at most `slots` numbers, so the table of them has
-   a size bound and is broadcast. Only texts that hit a slot are read in full and hashed.
-   A unique text that hits a slot by chance just gets its own full hash.
+2. The keys seen again are counted and marked in a bit set of `SPREAD` slots for each of
+   them, so few unique texts hit a marked slot by chance. The set has `MAX_SLOTS` at most,
+   64 to a row, which bounds what is broadcast. Only texts that hit a slot are hashed in
+   full; one that does by chance just gets its own full hash.
 
-The survivors' narrow rows are then grouped by full hash. Groups combine before the
-shuffle; the join back is an ordinary equi join, which adaptive execution splits if one
-group holds a large share of the rows.
+The survivors' narrow rows are then grouped by full hash. Groups combine before the shuffle
+and are written; the join back is an ordinary equi join, which adaptive execution splits if
+one group holds a large share of the rows.
+
+Texts are read whole however long they are, and an empty table gives no rows.
 
 NULL texts count as empty, and empty texts form one group. NULL ids are carried and come
 last among ties. Of rows with the same id and text one stays. Other columns are ignored.
@@ -19,6 +22,8 @@ last among ties. Of rows with the same id and text one stays. Other columns are
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +31,9 @@ from fairwake.llm.common import fresh, text_of, written
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 PREFIX = 256
-SLOTS = 1 << 18
+SPREAD = 16
+# A row of the bit set takes about 40 bytes of a broadcast, so at most some 40 MB.
+MAX_SLOTS = 1 << 26
 
 
 def normalised(text: str | Column) -> Column:
@@ -37,23 +44,38 @@ def normalised(text: str | Column) -> Column:
     return body
 
 
-def slot_of(body: str, prefix: int = PREFIX, slots: int = SLOTS) -> Column:
-    """The number that the length and the prefix hash of a compared text fold into."""
+class Slots(NamedTuple):
+    """A bit set of `number` slots; `table` has a row (word, bits) for 64 of them, if any is marked."""
+
+    table: DataFrame
+    number: int
+
+
+def slot_of(body: str, prefix: int, number: int) -> Column:
+    """The slot that the length and the prefix hash of a compared text fall into."""
     head = F.xxhash64(F.left(body, F.lit(prefix)))
-    return F.pmod(F.xxhash64(F.octet_length(body), head), F.lit(slots)).cast("int")
+    return F.pmod(F.xxhash64(F.octet_length(body), head), F.lit(number))
+
+
+def _bit(slot: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+
+
+def _word(slot: Column) -> Column:
+    return F.shiftright(slot, 6)
 
 
 def repeated_slots(
-    docs: DataFrame, text_column: str = "text", prefix: int = PREFIX, slots: int = SLOTS
-) -> DataFrame:
-    """The slots (`slots` rows at most) of lengths and prefix hashes that several texts have."""
+    docs: DataFrame, text_column: str = "text", prefix: int = PREFIX, slots: int | None = None
+) -> Slots:
+    """The slots of lengths and prefix hashes that several texts have."""
     body = docs.select(normalised(text_column).alias("body"))
-    heads = body.select(
-        F.octet_length("body").alias("size"),
-        F.xxhash64(F.left("body", F.lit(prefix))).alias("head"),
-        slot_of("body", prefix, slots).alias("slot"),
-    )
-    return heads.groupBy("size", "head", "slot").count().where("count > 1").select("slot").distinct()
+    heads = body.select(F.octet_length("body").alias("size"), F.xxhash64(F.left("body", F.lit(prefix))).alias("head"))
+    keys = written(heads.groupBy("size", "head").count().where("count > 1").select("size", "head"), "exact-heads")
+    number = slots or min(MAX_SLOTS, max(64, 1 << (SPREAD * keys.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("size", "head"), F.lit(number))
+    words = keys.select(_word(slot).alias("word"), _bit(slot).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return Slots(written(words, "exact-slots"), number)
 
 
 def exact_groups(
@@ -61,9 +83,9 @@ def exact_groups(
     id_column: str = "doc_id",
     text_column: str = "text",
     prefix: int = PREFIX,
-    slots: int = SLOTS,
+    slots: int | None = None,
     hash_all: bool = False,
-    again: DataFrame | None = None,
+    again: Slots | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, full_hash.
 
@@ -72,17 +94,17 @@ def exact_groups(
     `hash_all` asks for all of them. `again` takes `repeated_slots` of the same rows where
     the caller has them already.
     """
+    if again is None:
+        again = repeated_slots(docs, text_column, prefix, slots)
     shaped = docs.select(
         F.col(id_column).alias("doc_id"),
         F.char_length(text_of(text_column)).alias("points"),
         normalised(text_column).alias("body"),
-    ).withColumn("slot", slot_of("body", prefix, slots))
-    if again is None:
-        again = repeated_slots(docs, text_column, prefix, slots)
-    again = again.withColumn("again", F.lit(True))
-    hit = F.col("again").isNotNull()
+    ).withColumn("slot", slot_of("body", prefix, again.number))
+    hit = F.coalesce(F.col("bits").bitwiseAND(_bit(F.col("slot"))) != 0, F.lit(False))
     narrow = written(
-        shaped.join(F.broadcast(again), "slot", "left")
+        shaped.withColumn("word", _word(F.col("slot")))
+        .join(F.broadcast(again.table), "word", "left")
         .select(
             "doc_id",
             "points",
@@ -126,21 +148,22 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str
     again and shuffled to meet the row of their group that stays; that join is a merge join
     at every size, as the list of groups grows with the rows.
     """
-    again = written(repeated_slots(docs, text_column), "exact-slots")
+    again = repeated_slots(docs, text_column)
     decided = written(exact_groups(docs, id_column, text_column, again=again).where("group_size > 1"), "exact-groups")
     # how many rows have the id that stays: above 1, the id is repeated with the same text
     keeps = decided.groupBy("full_hash").agg(
         F.first("keep_id").alias("keep_id"), F.count_if(F.expr("doc_id <=> keep_id")).alias("same")
     )
+    keeps = written(keeps, "exact-keeps")  # so that a group with very many rows can be split in the join
 
     slot, key = fresh(docs, "exact_slot"), fresh(docs, "full_hash")
     names = [docs[c] for c in docs.columns]
-    placed = docs.withColumn(slot, slot_of(normalised(text_column)))
-    match = F.col(slot) == F.col("again_slot")
-    again = F.broadcast(again.toDF("again_slot"))
-    single = placed.join(again, match, "left_anti").select(*names)
+    placed = docs.withColumn(slot, slot_of(normalised(text_column), PREFIX, again.number))
+    match = (_word(F.col(slot)) == F.col("again_word")) & (F.col("again_bits").bitwiseAND(_bit(F.col(slot))) != 0)
+    marked = F.broadcast(again.table.toDF("again_word", "again_bits"))
+    single = placed.join(marked, match, "left_anti").select(*names)
 
-    hits = placed.join(again, match, "left_semi").withColumn(key, F.sha2(normalised(text_column), 256))
+    hits = placed.join(marked, match, "left_semi").withColumn(key, F.sha2(normalised(text_column), 256))
     keeps = keeps.toDF("keep_key", "keep_value", "keep_same").hint("merge")
     stay = hits.join(keeps, F.col(key) == F.col("keep_key"), "left").where(
         F.col("keep_key").isNull() | docs[id_column].eqNullSafe(F.col("keep_value"))

@@ -1,8 +1,11 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from fairwake.llm.catalog import QUERIES, STATEMENTS
-from fairwake.llm.exact_dedup import exact_groups, without_copies
+from fairwake.llm.common import written
+from fairwake.llm.exact_dedup import exact_groups, repeated_slots, without_copies
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -45,6 +48,46 @@ def test_unique_texts_are_not_hashed(spark):
     assert {tuple(r)[:4] for r in exact_groups(rows, slots=1).collect()} == {tuple(r)[:4] for r in got.values()}
 
 
+def test_more_repeated_texts_than_slots(spark):
+    """Every slot is marked, so all texts are hashed; groups and what stays are the same."""
+    rows = [(i, f"text number {i % 400} of many") for i in range(1000)] + [(5000 + i, f"single {i}") for i in range(50)]
+    table = spark.createDataFrame(rows, "doc_id int, text string")
+    few, enough = exact_groups(table, slots=64).collect(), exact_groups(table).collect()
+    assert {tuple(r)[:4] for r in few} == {tuple(r)[:4] for r in enough}
+    assert all(r["full_hash"] for r in few) and sum(r["full_hash"] is None for r in enough) > 30
+    again = repeated_slots(table)
+    assert again.number >= 16 * 400 and again.number & (again.number - 1) == 0
+    assert again.table.agg(F.sum(F.bit_count("bits"))).first()[0] <= 400 and again.table.count() <= again.number // 64
+    assert sorted(r["doc_id"] for r in without_copies(table).collect()) == [*range(400), *range(5000, 5050)]
+
+
+def test_a_hot_text_is_split(spark):
+    """A third of all rows share a text; their join is dealt to several tasks."""
+    low = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "256k",
+        "spark.sql.files.openCostInBytes": "1k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in low}
+    texts = F.expr("if(id % 3 = 0, repeat('hot text ', 40), concat(repeat('some text ', 40), id div 2))")
+    try:
+        for name, value in low.items():
+            spark.conf.set(name, value)
+        rows = written(spark.range(0, 60_000, 1, 8).select(F.col("id").alias("doc_id"), texts.alias("text")), "test-hot")
+        groups, kept = exact_groups(rows), without_copies(rows)
+        assert len(groups.collect()) == 60_000
+        assert len({r["doc_id"] for r in kept.collect()}) == len({r["full_hash"] or r["doc_id"] for r in groups.collect()})
+        for df in (groups, kept):
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_long_common_prefix(spark):
     rows = [(1, "a" * 5000 + "b"), (2, "a" * 5000 + "c"), (3, "a" * 5000 + " c")]
     got = {r["doc_id"]: r["keep_id"] for r in exact_groups(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
