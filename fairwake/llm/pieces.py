@@ -285,7 +285,9 @@ def encode(
     result = f"doc_id {id_type}, row long, chunk int, chunks int, ids binary"
     pieces = written(rows.mapInPandas(split, f"{result}, body string, lo int, hi int"), "piece-chunks")
     giants = pieces.where("chunks > 1").drop("ids")
-    matrices = giants.repartition("row", "chunk").mapInPandas(
+    # a number keeps adaptive execution from putting chunks of few bytes but much work into one task
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    matrices = giants.repartition(spread, "row", "chunk").mapInPandas(
         transfers, "row long, chunk int, starts array<int>, ends array<int>"
     )
     states = written(
