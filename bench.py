@@ -1,7 +1,10 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR names the folder of tables, BENCH_CPUS the number of cores. Each query is
-written to the no-op sink, so every row and column is computed and none is collected.
+written to the no-op sink, so every row and column that it returns is computed and none is
+collected. Queries of rows with a geometry return it in `run_geometry`, `run_simplify` and
+`vsr_vertices` only; the others do not compute it. The first query that needs a polygon
+index builds and stores it; later ones read it.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ HEADLINES = [
     "run_geometry",
     "run_simplify",
     "vsr_segments",
+    "vsr_vertices",
     "ship_daily",
     "ship_monthly",
     "ship_annual",

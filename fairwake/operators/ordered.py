@@ -10,24 +10,76 @@ on the same key and therefore moves no wide row again.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairwake.sources import tables
+
 SLICE = "_slice"
 SLICE_HOURS = 6
+# A slice with more rows than this is split further, into so many parts of about equal counts.
+CROWDED_ROWS = 100_000
+PARTS = 256
 
 
-def sliced(df: DataFrame, key: str, time: str, hours: int = SLICE_HOURS) -> DataFrame:
-    """Add the slice number and spread the rows by key and slice.
+class Slices(NamedTuple):
+    """How time lines are cut: by hours, and crowded slices also at the times in `hot`."""
+
+    hours: int = SLICE_HOURS
+    hot: DataFrame | None = None  # key, _slice, _bounds
+
 
-    Rows without key or time have no place on a time line and are left out. Saying so
-    before the shuffle, and not leaving it to the later join, keeps the shuffled rows
-    the same for both of their uses, so that they are shuffled once.
+def counted_slices(
+    df: DataFrame, key: str, time: str, hours: int = SLICE_HOURS, crowded: int = CROWDED_ROWS
+) -> Slices:
+    """Count the rows of each slice and find where to split the crowded ones.
+
+    One identity that many ships share may hold a large share of all rows within hours.
+    Only key and time are read. Counts and quantiles combine before their shuffles, and the
+    table of crowded slices has one row for at least `crowded` rows.
     """
+    spark, rows = df.sparkSession, _placed(df.select(key, time), key, time, hours)
+
+    def kept(found: DataFrame, name: str) -> DataFrame:
+        path = tables.new_folder(spark, name)
+        found.write.parquet(path)
+        return spark.read.schema(found.schema).parquet(path)
+
+    counts = rows.groupBy(key, SLICE).count().where(F.col("count") > crowded)
+    hot = kept(counts.select(key, SLICE), "crowded-slices")
+    if hot.isEmpty():
+        return Slices(hours)
+    shares = F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)])
+    bounds = F.percentile_approx(F.unix_micros(time), shares, 10 * PARTS)
+    split = rows.join(hot, [key, SLICE]).groupBy(key, SLICE).agg(F.array_distinct(bounds).alias("_bounds"))
+    return Slices(hours, kept(split, "slice-bounds"))
+
+
+def _placed(df: DataFrame, key: str, time: str, hours: int) -> DataFrame:
     slice_no = F.expr(f"floor(unix_seconds({time}) / {hours * 3600})")
-    placed = df.withColumn(SLICE, slice_no).where(
-        F.col(key).isNotNull() & F.col(SLICE).isNotNull()
-    )
+    return df.withColumn(SLICE, slice_no).where(F.col(key).isNotNull() & F.col(SLICE).isNotNull())
+
+
+def sliced(df: DataFrame, key: str, time: str, slices: int | Slices = SLICE_HOURS) -> DataFrame:
+    """Add the slice number and spread the rows by key and slice.
+
+    `slices` is a number of hours, or comes from `counted_slices`. Rows of one time always
+    stay in one slice. Rows without key or time have no place on a time line and are left
+    out. Saying so before the shuffle, and not leaving it to the later join, keeps the
+    shuffled rows the same for both of their uses, so that they are shuffled once.
+    """
+    if not isinstance(slices, Slices):
+        slices = Slices(slices)
+    placed = _placed(df, key, time, slices.hours)
+    if slices.hot is not None:
+        part = f"coalesce(size(filter(_bounds, b -> b <= unix_micros({time}))), 0)"
+        placed = (
+            placed.join(slices.hot, [key, SLICE], "left")
+            .withColumn(SLICE, F.expr(f"{SLICE} * {PARTS} + {part}"))
+            .select(*df.columns, SLICE)
+        )
     return placed.repartition(F.col(key), F.col(SLICE))
 
 

@@ -18,7 +18,7 @@ from fairwake.functions.speed import (
     speed_choice_legacy_2,
 )
 from fairwake.operators.joins import join_registry
-from fairwake.operators.ordered import SLICE_HOURS, sliced, with_changes
+from fairwake.operators.ordered import SLICE_HOURS, Slices, sliced, with_changes
 from fairwake.plans.segments import elapsed, newer, point_pairs
 from fairwake.schemas import RUNS, RUNS_LEGACY, conform
 
@@ -50,7 +50,7 @@ def off_coast(segments: DataFrame) -> DataFrame:
     return segments.where(~F.coalesce("touches_coast", F.lit(True)))
 
 
-def numbered_runs(segments: DataFrame, *, slice_hours: int = SLICE_HOURS) -> DataFrame:
+def numbered_runs(segments: DataFrame, *, slice_hours: int | Slices = SLICE_HOURS) -> DataFrame:
     """Add `seg_chg`, `segid` and `seg_id` along each vessel's segments.
 
     A segment before a change of class closes its run, so it keeps the run's number. A
@@ -98,7 +98,7 @@ def run_lines(line: str) -> Column:
 
 
 def speed_runs(
-    segments: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
+    segments: DataFrame, since: dt.datetime, *, slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Runs without geometry."""
     fresh = off_coast(newer(segments, since)).select(*SEGMENT_COLUMNS)
@@ -107,7 +107,7 @@ def speed_runs(
 
 
 def run_geometries(
-    segments: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
+    segments: DataFrame, since: dt.datetime, *, slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Runs with `paths`, their geometry as it comes, and `npts`, its number of points."""
     fresh = off_coast(newer(segments, since)).select(*SEGMENT_COLUMNS, "linestring")
@@ -118,7 +118,7 @@ def run_geometries(
 
 
 def build_runs(
-    segments: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
+    segments: DataFrame, since: dt.datetime, *, slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Runs of off-coast segments per vessel and day, with straightened geometry."""
     runs = run_geometries(segments, since, slice_hours=slice_hours)
@@ -150,7 +150,7 @@ def choose_speeds_legacy(pairs: DataFrame) -> DataFrame:
 
 
 def numbered_runs_legacy(
-    messages: DataFrame, vessels: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
+    messages: DataFrame, vessels: DataFrame, since: dt.datetime, *, slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Run numbers straight from messages, counted row by row along each vessel."""
     joined = join_registry(newer(messages, since), vessels)
@@ -161,7 +161,7 @@ def numbered_runs_legacy(
 
 
 def build_runs_legacy(
-    messages: DataFrame, vessels: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
+    messages: DataFrame, vessels: DataFrame, since: dt.datetime, *, slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Earlier form of runs: gaps are bridged, and a geometry exists up to two hours."""
     rows = numbered_runs_legacy(messages, vessels, since, slice_hours=slice_hours)

@@ -18,7 +18,7 @@ from fairwake.functions.speed import (
     speed_bin,
 )
 from fairwake.operators.joins import MIN_GROSS_TONNAGE, join_registry
-from fairwake.operators.ordered import SLICE_HOURS, sliced, with_next
+from fairwake.operators.ordered import SLICE_HOURS, Slices, sliced, with_next
 from fairwake.operators.spatial import with_touch_flag
 from fairwake.schemas import SEGMENTS, SEGMENTS_LEGACY, SEGMENTS_SIMPLE, conform
 
@@ -58,7 +58,7 @@ def newer(rows: DataFrame, since: dt.datetime) -> DataFrame:
 
 
 def point_pairs(
-    messages: DataFrame, *, carry: list[str], slice_hours: int = SLICE_HOURS
+    messages: DataFrame, *, carry: list[str], slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Each message with the vessel's following one, numbered along the vessel's time."""
     rows = sliced(messages, "mmsi", "timestamp", slice_hours)
@@ -96,7 +96,7 @@ def build_segments(
     coast: DataFrame | None,
     since: dt.datetime,
     *,
-    slice_hours: int = SLICE_HOURS,
+    slice_hours: int | Slices = SLICE_HOURS,
     geodesic: bool = True,
 ) -> DataFrame:
     """Segments of large ships with distance, speeds, speed classes and coast contact.
@@ -121,7 +121,7 @@ def build_segments(
 
 
 def build_segments_legacy(
-    messages: DataFrame, vessels: DataFrame, since: dt.datetime, *, slice_hours: int = SLICE_HOURS
+    messages: DataFrame, vessels: DataFrame, since: dt.datetime, *, slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Earlier form: calculated speed first, speeds not rounded, no region or coast."""
     pairs = _registered_pairs(messages, vessels, since, slice_hours)
@@ -140,19 +140,24 @@ def build_segments_legacy(
 
 
 def build_segments_simple(
-    messages: DataFrame, registry: DataFrame, *, slice_hours: int = SLICE_HOURS
+    messages: DataFrame, registry: DataFrame, *, slice_hours: int | Slices = SLICE_HOURS
 ) -> DataFrame:
     """Earliest form: a message's own speeds, all registry columns, 10 km at most.
 
-    All messages of known ships are numbered; the tonnage filter comes afterwards.
+    All messages of known ships are numbered; the tonnage filter comes afterwards. Only the
+    start, tonnage and hash of a message's registry row go along its time line; the other
+    registry columns join the segments that are left.
     """
-    known = messages.join(registry, "mmsi")
+    entries = registry.withColumn("_entry", F.xxhash64(*registry.columns))
+    known = messages.join(entries.select("mmsi", "start_date", "gt", "_entry"), "mmsi")
     pairs = measured(
         point_pairs(known, carry=["timestamp", "lon", "lat"], slice_hours=slice_hours)
     )
     kept = pairs.where(is_segment(REACH_SIMPLE) & (F.col("gt") >= MIN_GROSS_TONNAGE))
     return conform(
-        kept.withColumn("date_diff_minutes", elapsed("MINUTE"))
+        kept.drop("start_date")
+        .join(entries.drop("gt").dropDuplicates(["mmsi", "_entry"]), ["mmsi", "_entry"])
+        .withColumn("date_diff_minutes", elapsed("MINUTE"))
         .withColumn("distance", num(F.col("metres")))
         .withColumn("linestring", F.array("point", "next_point")),
         SEGMENTS_SIMPLE,
@@ -160,7 +165,7 @@ def build_segments_simple(
 
 
 def _registered_pairs(
-    messages: DataFrame, registry: DataFrame, since: dt.datetime, slice_hours: int
+    messages: DataFrame, registry: DataFrame, since: dt.datetime, slice_hours: int | Slices
 ) -> DataFrame:
     joined = join_registry(newer(messages, since), registry)
     return measured(

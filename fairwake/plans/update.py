@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from fairwake import schemas
+from fairwake.operators.ordered import Slices, counted_slices
 from fairwake.plans import fleets, runs, segments, ships, zones
 from fairwake.plans.ingest import ingest
 from fairwake.sources import tables
@@ -70,18 +71,19 @@ def update_loads(
         )
 
     run(incremental.MESSAGES, lambda since: ingest(source, since), FIRST_MESSAGE)
-    run(
-        incremental.SEGMENTS,
-        lambda since: segments.build_segments(
-            stored(incremental.MESSAGES, since), registry, coast, since
-        ),
-        FIRST_SEGMENT,
-    )
-    run(
-        incremental.RUNS,
-        lambda since: runs.build_runs(stored(incremental.SEGMENTS, since), since),
-        FIRST_MESSAGE,
-    )
+    def sliced(rows: DataFrame, since: dt.datetime) -> Slices:
+        return counted_slices(segments.newer(rows, since), "mmsi", "timestamp")
+
+    def new_segments(since: dt.datetime) -> DataFrame:
+        rows = stored(incremental.MESSAGES, since)
+        return segments.build_segments(rows, registry, coast, since, slice_hours=sliced(rows, since))
+
+    def new_runs(since: dt.datetime) -> DataFrame:
+        rows = stored(incremental.SEGMENTS, since)
+        return runs.build_runs(rows, since, slice_hours=sliced(rows, since))
+
+    run(incremental.SEGMENTS, new_segments, FIRST_SEGMENT)
+    run(incremental.RUNS, new_runs, FIRST_MESSAGE)
     run(
         incremental.ZONE_SEGMENTS,
         lambda since: zones.clip_to_zones(stored(incremental.SEGMENTS, since), zone_table, since),

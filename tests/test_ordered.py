@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fairwake.operators.ordered import sliced, with_changes, with_next
+from fairwake.operators.ordered import SLICE, counted_slices, sliced, with_changes, with_next
 
 
 def positions(spark):
@@ -72,6 +72,35 @@ def test_hot_vessel_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_a_crowded_slice_is_split(spark):
+    """200,000 rows of one identity within five hours, many of them at one second."""
+    rows = spark.range(200_000).selectExpr(
+        "7L as mmsi", "timestamp_seconds(1704067200 + if(id % 10 = 0, 9000, id % 18000)) as timestamp", "id as v",
+        "id % 3 as label",
+    ).unionByName(positions(spark))
+    slices = counted_slices(rows, "mmsi", "timestamp", crowded=50_000)
+    hot = slices.hot.collect()
+    assert [r["mmsi"] for r in hot] == [7] and 100 < len(hot[0]["_bounds"]) < 256
+    cut = sliced(rows, "mmsi", "timestamp", slices)
+    sizes = [r["count"] for r in cut.where("mmsi = 7").groupBy(SLICE).count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 25_000  # a tenth of the rows share a second
+    by_time = cut.groupBy("mmsi", "timestamp").agg(F.countDistinct(SLICE).alias("n"))
+    assert by_time.agg(F.max("n")).first()[0] == 1
+
+    found = with_next(cut, "mmsi", ["timestamp", "v"], ["v"], number="num")
+    w = Window.partitionBy("mmsi").orderBy("timestamp", "v")
+    plain = rows.withColumn("num", F.row_number().over(w)).withColumn("next", F.lead(F.struct("v")).over(w))
+    columns = ["mmsi", "v", "num", "next"]
+    assert found.select(columns).exceptAll(plain.select(columns)).isEmpty() and found.count() == plain.count()
+    marked = with_changes(cut, "mmsi", ["timestamp", "v"], "label", peers=["timestamp"]).select("mmsi", "v", "seg_chg", "segid")
+    expected = plain_changes(rows, ["timestamp"]).select("mmsi", "v", "seg_chg", "segid")
+    assert marked.exceptAll(expected).isEmpty() and expected.exceptAll(marked).isEmpty()
+
+
+def test_slices_that_are_not_crowded_stay(spark):
+    assert counted_slices(positions(spark), "mmsi", "timestamp").hot is None
+
+
 def test_no_window_runs_in_one_partition(spark):
     found = with_next(sliced(positions(spark), "mmsi", "timestamp"), "mmsi", ["timestamp"], ["v"])
     assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString()

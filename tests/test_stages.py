@@ -274,3 +274,16 @@ def test_no_distance_gives_no_score_and_the_lowest_grade(spark):
     ).collect()
     assert month.coop_score_monthly is None and month.month_grade == "F"
     assert month.percent_distance_under_10 is None
+
+
+def test_simple_segments_carry_no_registry_columns_along_the_time_line(spark):
+    ship = [(1, 500, DAY_1, dt.date(2024, 1, 15)), (1, 500, dt.date(2024, 1, 15), DAY_31), (2, 200, DAY_1, DAY_31)]
+    some = messages(spark, [(1, 0, 0, 0, 5.0, 5.0), (1, 600, 0, 0.01, 5.0, 5.0), (2, 0, 0, 0, 5.0, 5.0), (2, 600, 0, 0.01, 5.0, 5.0)])
+    twice = registry(spark, ship).union(registry(spark, ship[:1]))  # and an equal row
+    found = segments.build_segments_simple(some, twice)
+    rows = found.collect()
+    assert {r["mmsi"] for r in rows} == {1} and {r["gt"] for r in rows} == {500}
+    assert [r["num"] for r in rows] == sorted(set(r["num"] for r in rows))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    shuffled = [plan[i + 1] for i, line in enumerate(plan) if "RepartitionByExpression" in line]
+    assert shuffled and not any("name_of_ship" in line or "operator" in line for line in shuffled)
