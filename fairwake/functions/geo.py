@@ -106,7 +106,9 @@ def with_chained(rows: DataFrame, hops: str, into: str) -> DataFrame:
     """Replace an array of struct<..., beg, end> hops, taken in order, by a multiline.
 
     A hop that starts where the one before ended continues its path; any other hop
-    starts a new path. Done in steps, so that no array is computed once per element.
+    starts a new path. Done in steps, so that no array is computed once per element, each
+    `once`: a filter on the result, also one that Spark adds before the result is exploded,
+    would otherwise move below the steps with all of them put into each other.
     """
     goes_on = same_point(f"get({hops}, i).beg", f"get({hops}, i - 1).end")
     stop = f"coalesce(get(_starts, k + 1), size({hops}))"
@@ -116,13 +118,22 @@ def with_chained(rows: DataFrame, hops: str, into: str) -> DataFrame:
     )
     positions = f"case when size({hops}) > 0 then sequence(0, size({hops}) - 1) end"
     return (
-        rows.withColumn(hops, F.array_sort(hops))
-        .withColumn("_starts", F.expr(f"filter({positions}, i -> i = 0 or not {goes_on})"))
-        .withColumn(into, F.expr(f"transform(_starts, (start, k) -> {path})"))
+        rows.withColumn(hops, once(F.array_sort(hops)))
+        .withColumn("_starts", once(F.expr(f"filter({positions}, i -> i = 0 or not {goes_on})")))
+        .withColumn(into, once(F.expr(f"transform(_starts, (start, k) -> {path})")))
         .drop("_starts", hops)
     )
 
 
+def once(value: Column) -> Column:
+    """The value from a generator of one row.
+
+    Spark neither repeats a generator's expression where its result is used nor moves
+    filters on the result below it, which for long expressions takes the optimizer minutes.
+    """
+    return F.explode(F.array(value))
+
+
 def path_gaps_m(paths: str) -> Column:
     """Distances from the end of each path to the start of the next one."""
     last = f"get(get({paths}, i - 1), size(get({paths}, i - 1)) - 1)"

@@ -33,25 +33,16 @@ def with_tolerance(runs: DataFrame, paths: str, into: str, gap: str = "_gap") ->
 def with_straightened(runs: DataFrame, paths: str, into: str) -> DataFrame:
     """Add the paths as one simplified line where a tolerance allows it, else unchanged."""
     needed = F.col("_tolerance").isNotNull()
-    chosen = with_tolerance(runs, paths, "_ladder").withColumn("_tolerance", once(F.col("_ladder")))
-    joined = chosen.withColumn("_joined", once(F.when(needed, F.flatten(paths))))
+    chosen = with_tolerance(runs, paths, "_ladder").withColumn("_tolerance", geo.once(F.col("_ladder")))
+    joined = chosen.withColumn("_joined", geo.once(F.when(needed, F.flatten(paths))))
     line = F.expr("array(transform(_kept, i -> get(_joined, i)))")
     return (
         with_kept_vertices(joined, "_joined", "_tolerance", "_kept")
-        .withColumn(into, once(F.when(needed, line).otherwise(F.col(paths))))
+        .withColumn(into, geo.once(F.when(needed, line).otherwise(F.col(paths))))
         .drop("_gap", "_ladder", "_tolerance", "_joined", "_kept")
     )
 
 
-def once(value: Column) -> Column:
-    """The value from a generator of one row.
-
-    Spark neither repeats a generator's expression where its result is used nor moves
-    filters on the result below it, which for long expressions takes the optimizer minutes.
-    """
-    return F.explode(F.array(value))
-
-
 def with_kept_vertices(rows: DataFrame, line: str, tolerance: str, into: str) -> DataFrame:
     """Add the positions of the vertices that stay when a line is simplified to a tolerance.
 
@@ -91,8 +82,8 @@ def with_kept_vertices(rows: DataFrame, line: str, tolerance: str, into: str) ->
     rounds = f"aggregate(sequence(1, greatest(size({line}), 1)), {begin}, (s, r) -> {step})"
     return (
         rows.withColumn("_scale", F.expr(f"cos(radians({mean}))"))
-        .withColumn("_plane", once(F.expr(f"case when {tolerance} is not null then {plane} end")))
-        .withColumn(into, once(F.expr(f"case when {tolerance} is not null then {rounds}.kept end")))
+        .withColumn("_plane", geo.once(F.expr(f"case when {tolerance} is not null then {plane} end")))
+        .withColumn(into, geo.once(F.expr(f"case when {tolerance} is not null then {rounds}.kept end")))
         .drop("_scale", "_plane")
     )
 

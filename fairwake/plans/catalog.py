@@ -161,6 +161,12 @@ class Chain:
     def scratch(self, name: str) -> str:
         return tables.new_folder(self.spark, name)
 
+    def stored(self, rows: DataFrame, name: str) -> DataFrame:
+        """The rows as a table of their own, for what reads them several times."""
+        path = self.scratch(name)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def two_loads(self) -> str:
         """Folder of a message table loaded up to the middle of the month, then in full."""
         folder = self.scratch("two-loads")
@@ -319,11 +325,12 @@ def freshness_log(c: Chain) -> DataFrame:
     months_8 = incremental.MONTHS_8
     messages = c.messages.withColumn("date", F.to_date("timestamp"))
     zone_segments = zones.clip_to_zones_legacy(c.segments_legacy, c.zones, EVER)
-    zone_runs = zones.clip_runs_to_zones(c.runs_legacy, c.zones, EVER)
+    found_runs = c.stored(c.runs_legacy.select(*zones.RUN_KEY, "geom"), "runs-legacy")
+    zone_runs = zones.clip_runs_to_zones(found_runs, c.zones, EVER)
     sources = [
         ("ais_data", messages, "timestamp", "date", days_14),
         ("ais_segments", c.segments_legacy, "timestamp", "date", days_14),
-        ("ais_segments_agg", c.runs_legacy, "timestamp_end", "date", days_14),
+        ("ais_segments_agg", found_runs, "timestamp_end", "date", days_14),
         ("ais_vsr_segments", zone_segments, "timestamp", "date", months_8),
         ("ais_vsr_segments_agg", zone_runs, "timestamp_end", "date", months_8),
     ]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairwake import schemas
+from fairwake.functions import geo
 from fairwake.plans import fleets, ingest, runs, segments, ships, zones
 
 UTC = dt.timezone.utc
@@ -120,6 +121,40 @@ def test_ingest_loads_whole_days_after_the_watermark(spark):
 # ---- runs -----------------------------------------------------------------------
 
 
+HOPS = "id int, hops array<struct<timestamp:int,beg:struct<lon:double,lat:double>,end:struct<lon:double,lat:double>>>"
+
+
+def test_hops_are_chained_in_order_and_break_where_they_do_not_meet(spark):
+    a, b, c, d = [(float(k), 0.0) for k in range(4)]
+    rows = [(1, [(3, c, d), (1, a, b), (2, b, c)]), (2, [(2, c, d), (1, a, b)]), (3, []), (4, None)]
+    found = geo.with_chained(spark.createDataFrame(rows, HOPS), "hops", "paths")
+    assert found.columns == ["id", "paths"]
+    paths = {r.id: r.paths and [[tuple(p) for p in path] for path in r.paths] for r in found.collect()}
+    assert paths == {1: [[a, b, c, d]], 2: [[a, b], [c, d]], 3: None, 4: None}
+
+
+def test_filters_on_chained_hops_do_not_repeat_the_steps(spark):
+    """Put into each other, the steps sorted all hops once per hop."""
+    found = geo.with_chained(spark.createDataFrame([], HOPS), "hops", "paths")
+    many = found.where((geo.point_count("paths") > 1) & F.col("paths").isNotNull())
+    for reader in (many, many.select("id", F.posexplode("paths"))):
+        plan = reader._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("array_sort(") <= 1
+
+
+def test_a_run_of_many_messages_is_chained(spark):
+    """A message a second and no change of class: sorted once per hop, this took minutes."""
+    rows = spark.range(7000).selectExpr(
+        "cast(1 as bigint) as mmsi", "timestamp_seconds(1704844800 + id) as timestamp",
+        "-120D as lon", "33.5D + id * 1E-5D as lat", "5D as speed_knots", "5D as implied_speed_knots",
+        "'spire' as source", "'sc' as region",
+    )
+    vessels = spark.createDataFrame([(1, 300)], "mmsi long, gt long")
+    built = runs.build_runs_legacy(schemas.conform(rows, schemas.MESSAGES), vessels, EVER)
+    (run,) = built.selectExpr("size(geom) as paths", "npts").collect()
+    assert tuple(run) == (1, 7000)
+
+
 def segment_rows(spark, bins, *, gap=600, mmsi=1, touching=()):
     rows = [
         (mmsi, k + 1, START + dt.timedelta(seconds=gap * k), START + dt.timedelta(seconds=gap * (k + 1)),

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairwake import schemas
-from fairwake.plans.catalog import AS_OF, EVER, Chain
+from fairwake.plans import zones
+from fairwake.plans.catalog import AS_OF, EVER, QUERIES, Chain
 from fairwake.plans.update import update, update_loads
 from fairwake.sources import tables
 from fairwake.streaming import incremental
@@ -154,6 +155,19 @@ def test_stats_log_has_a_row_per_scorecard(spark, updated):
     assert log.count() == 6 and log.where("newest_timestamp is null").count() == 0
 
 
+def test_freshness_log_reads_runs_from_one_table(spark, chain):
+    log = QUERIES["freshness_log"](chain)
+    plan = log._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(" not in plan  # which made the runs' geometries, once for each use
+    found = {r.table_name: r.newest_timestamp for r in log.collect()}
+    fresh = incremental.recent(chain.runs_legacy, "date", AS_OF[0], incremental.relativedelta(days=14))
+    zone_runs = zones.clip_runs_to_zones(chain.runs_legacy, chain.zones, EVER)
+    expected = {"ais_segments_agg": fresh, "ais_vsr_segments_agg": zone_runs}
+    for name, rows_of in expected.items():
+        assert found[name] == incremental.newest(rows_of, "timestamp_end").first()[0]
+    assert len(found) == 5
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert tables.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
